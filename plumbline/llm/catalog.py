@@ -7,10 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import titles, topn
+from plumbline.llm import look, survivor, titles, topn
 from plumbline.sources.tables import table
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = look.look_alikes(table(spark, d, "paper"), "paper_id", ("title", "abstract"))
+    return pairs.select(F.col("ident_a").alias("paper_id_a"), F.col("ident_b").alias("paper_id_b"), "field")
+
+
+def p1_forms(spark: SparkSession, d: str) -> DataFrame:
+    return look.forms(table(spark, d, "paper"), "paper_id", ("title", "abstract"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return titles.copies_of(table(spark, d, "semantic_candidate"), "cand_id", "title")
 
@@ -19,14 +28,46 @@ def p3_collapsed(spark: SparkSession, d: str) -> DataFrame:
     return titles.collapse(table(spark, d, "semantic_candidate"), "cand_id", "title")
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return survivor.survivors(table(spark, d, "paper"), table(spark, d, "source_trust"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     top = topn.top_n(table(spark, d, "manifest"), "query", "paper.similarity", "paper.rank", "record_id", 5)
     return top.select(F.col("grp").alias("query"), F.col("ident").alias("record_id"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p3_found, p3_collapsed, p6_found)}
-
+    return {f.__name__: f for f in (p1_found, p1_forms, p3_found, p3_collapsed, p5_found, p6_found)}
+
+
+_P5_TEXT = rf"""
+  SELECT key, paper_id, updated_at, '{{f}}' AS field, {{worth}} AS worth FROM t WHERE {{f}} IS NOT NULL
+    AND regexp_replace(lower({{f}}), '^[^\p{{{{L}}}}\p{{{{N}}}}]+|[^\p{{{{L}}}}\p{{{{N}}}}]+$', '', 'g') <> ''
+    AND NOT regexp_matches(regexp_replace(lower({{f}}), '^[^\p{{{{L}}}}\p{{{{N}}}}]+|[^\p{{{{L}}}}\p{{{{N}}}}]+$', '', 'g'), '(?s)^(?:{survivor.NOTHING})$')"""
+_P5_LIST = """
+  SELECT key, paper_id, updated_at, '{f}', n FROM (
+    SELECT *, len(list_distinct(list_filter({f}, lambda v: v IS NOT NULL AND trim(v) <> ''))) AS n FROM t) WHERE n > 0"""
+_P5 = (
+    """
+WITH t AS (
+  SELECT p.*, coalesce(list_max(list_transform(list_filter(retrieval_sources, lambda s: s IS NOT NULL), lambda s: coalesce(m[s], 0))), 0) AS trust_level
+  FROM paper p, (SELECT map_from_entries(list((source, trust))) AS m FROM source_trust)
+), v AS ("""
+    + " UNION ALL ".join(
+        [
+            _P5_TEXT.format(f="title", worth="trust_level"),
+            _P5_TEXT.format(f="abstract", worth="length(trim(abstract))"),
+            _P5_LIST.format(f="pdf_urls"),
+            _P5_LIST.format(f="retrieval_sources"),
+        ]
+    )
+    + """
+), many AS (SELECT key FROM paper GROUP BY key HAVING count(DISTINCT paper_id) > 1)
+SELECT key, field, paper_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY key, field ORDER BY worth DESC, updated_at DESC NULLS LAST, paper_id) AS pos FROM v SEMI JOIN many USING (key))
+WHERE pos = 1"""
+)
 
 _P3 = r"""
 WITH k AS (
@@ -38,7 +79,13 @@ WITH k AS (
 
 
 def oracle_sql() -> dict[str, str]:
+    seen = " UNION ALL ".join(f"SELECT paper_id, '{f}' AS field, {f} AS text, {look.look_sql(f)} AS look FROM paper WHERE {f} IS NOT NULL" for f in ("title", "abstract"))
     return {
+        "p1_found": f"""
+            WITH s AS (SELECT * FROM ({seen}) WHERE trim(look) <> '')
+            SELECT DISTINCT a.paper_id AS paper_id_a, b.paper_id AS paper_id_b, field FROM s a JOIN s b USING (field, look) WHERE a.paper_id < b.paper_id AND a.text <> b.text""",
+        "p1_forms": f"SELECT paper_id, {look.form_sql('title')} AS title, {look.form_sql('abstract')} AS abstract FROM paper",
+        "p5_found": _P5,
         "p3_found": _P3 + "SELECT keep_id, cand_id AS copy_id FROM g WHERE cand_id > keep_id",
         "p3_collapsed": _P3 + "SELECT keep_id, CAST(copies AS BIGINT) AS copies FROM g WHERE cand_id = keep_id",
         "p6_found": """

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import look, survivor, titles, topn
+from plumbline.llm import leak, look, survivor, titles, topn
 from plumbline.sources.tables import table
 
 
@@ -37,8 +37,17 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return top.select(F.col("grp").alias("query"), F.col("ident").alias("record_id"))
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    near = leak.leaks(table(spark, d, "documents"), table(spark, d, "eval_item"), "doc_id", "text", words=12)
+    return near.where("words >= 12").select("doc_id", "item_id")
+
+
+def p8_near(spark: SparkSession, d: str) -> DataFrame:
+    return leak.leaks(table(spark, d, "documents"), table(spark, d, "eval_item"), "doc_id", "text", words=12)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_forms, p3_found, p3_collapsed, p5_found, p6_found)}
+    return {f.__name__: f for f in (p1_found, p1_forms, p3_found, p3_collapsed, p5_found, p6_found, p8_found, p8_near)}
 
 
 _P5_TEXT = rf"""
@@ -86,6 +95,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT DISTINCT a.paper_id AS paper_id_a, b.paper_id AS paper_id_b, field FROM s a JOIN s b USING (field, look) WHERE a.paper_id < b.paper_id AND a.text <> b.text""",
         "p1_forms": f"SELECT paper_id, {look.form_sql('title')} AS title, {look.form_sql('abstract')} AS abstract FROM paper",
         "p5_found": _P5,
+        "p8_found": r"""
+            WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+            iw AS (SELECT item_id, regexp_extract_all(lower(passage), '[\p{L}\p{N}]+') AS w FROM eval_item),
+            ds AS (SELECT doc_id, array_to_string(w[k:k + 11], ' ') AS s FROM dw, unnest(range(1, len(w) - 10)) AS u(k)),
+            si AS (SELECT item_id, array_to_string(w[k:k + 11], ' ') AS s FROM iw, unnest(range(1, len(w) - 10)) AS u(k))
+            SELECT DISTINCT doc_id, item_id FROM ds JOIN si USING (s)""",
         "p3_found": _P3 + "SELECT keep_id, cand_id AS copy_id FROM g WHERE cand_id > keep_id",
         "p3_collapsed": _P3 + "SELECT keep_id, CAST(copies AS BIGINT) AS copies FROM g WHERE cand_id = keep_id",
         "p6_found": """

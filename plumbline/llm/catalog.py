@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import leak, look, survivor, titles, topn
+from plumbline.llm import encoding, leak, look, survivor, titles, topn
 from plumbline.sources.tables import table
 
 
@@ -46,8 +46,16 @@ def p8_near(spark: SparkSession, d: str) -> DataFrame:
     return leak.leaks(table(spark, d, "documents"), table(spark, d, "eval_item"), "doc_id", "text", words=12)
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return encoding.garbled(table(spark, d, "documents"), "doc_id", "text").select(F.col("ident").alias("doc_id")).distinct()
+
+
+def p9_restored(spark: SparkSession, d: str) -> DataFrame:
+    return encoding.restored(table(spark, d, "documents"), "doc_id", "text").withColumnRenamed("ident", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_forms, p3_found, p3_collapsed, p5_found, p6_found, p8_found, p8_near)}
+    return {f.__name__: f for f in (p1_found, p1_forms, p3_found, p3_collapsed, p5_found, p6_found, p8_found, p8_near, p9_found, p9_restored)}
 
 
 _P5_TEXT = rf"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import encoding, leak, look, survivor, titles, topn
+from plumbline.llm import encoding, leak, look, packing, survivor, titles, topn
 from plumbline.sources.tables import table
 
 
@@ -37,6 +37,11 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return top.select(F.col("grp").alias("query"), F.col("ident").alias("record_id"))
 
 
+def p7_packed(spark: SparkSession, d: str) -> DataFrame:
+    packed = packing.pack(table(spark, d, "documents"), table(spark, d, "container_size"), "doc_id", "text")
+    return packed.withColumnRenamed("ident", "doc_id")
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     near = leak.leaks(table(spark, d, "documents"), table(spark, d, "eval_item"), "doc_id", "text", words=12)
     return near.where("words >= 12").select("doc_id", "item_id")
@@ -55,7 +60,7 @@ def p9_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_forms, p3_found, p3_collapsed, p5_found, p6_found, p8_found, p8_near, p9_found, p9_restored)}
+    return {f.__name__: f for f in (p1_found, p1_forms, p3_found, p3_collapsed, p5_found, p6_found, p7_packed, p8_found, p8_near, p9_found, p9_restored)}
 
 
 _P5_TEXT = rf"""

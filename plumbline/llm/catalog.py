@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import encoding, leak, look, packing, survivor, titles, topn
+from plumbline.llm import encoding, leak, look, markup, packing, survivor, titles, topn
 from plumbline.sources.tables import table
 
 
@@ -28,6 +28,15 @@ def p3_collapsed(spark: SparkSession, d: str) -> DataFrame:
     return titles.collapse(table(spark, d, "semantic_candidate"), "cand_id", "title")
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return markup.with_markup(table(spark, d, "semantic_candidate"), "cand_id", "abstract").select(F.col("ident").alias("cand_id"))
+
+
+def p4_plain(spark: SparkSession, d: str) -> DataFrame:
+    plain = markup.cleaned(table(spark, d, "semantic_candidate"), "cand_id", "abstract")
+    return plain.select(F.col("ident").alias("cand_id"), F.col("text").alias("abstract"), "kinds")
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return survivor.survivors(table(spark, d, "paper"), table(spark, d, "source_trust"))
 
@@ -60,7 +69,7 @@ def p9_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_forms, p3_found, p3_collapsed, p5_found, p6_found, p7_packed, p8_found, p8_near, p9_found, p9_restored)}
+    return {f.__name__: f for f in (p1_found, p1_forms, p3_found, p3_collapsed, p4_found, p4_plain, p5_found, p6_found, p7_packed, p8_found, p8_near, p9_found, p9_restored)}
 
 
 _P5_TEXT = rf"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import encoding, leak, look, markup, packing, survivor, titles, topn
+from plumbline.llm import encoding, leak, look, markup, match, packing, survivor, titles, topn
 from plumbline.sources.tables import table
 
 
@@ -20,6 +20,16 @@ def p1_forms(spark: SparkSession, d: str) -> DataFrame:
     return look.forms(table(spark, d, "paper"), "paper_id", ("title", "abstract"))
 
 
+def p2_matches(spark: SparkSession, d: str) -> DataFrame:
+    cited = match.records(table(spark, d, "identity_candidate"), "ident_id", "title", "doi", ("location_doi", "pdf_url", "landing_url"))
+    described = match.records(table(spark, d, "semantic_candidate"), "cand_id", "title", "doi", ("pdf_url", "landing_url"))
+    return match.matches(cited, described).withColumnsRenamed({"ident_a": "ident_id", "ident_b": "cand_id"})
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return p2_matches(spark, d).select("ident_id", "cand_id")
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return titles.copies_of(table(spark, d, "semantic_candidate"), "cand_id", "title")
 
@@ -69,7 +79,7 @@ def p9_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_forms, p3_found, p3_collapsed, p4_found, p4_plain, p5_found, p6_found, p7_packed, p8_found, p8_near, p9_found, p9_restored)}
+    return {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_matches, p3_found, p3_collapsed, p4_found, p4_plain, p5_found, p6_found, p7_packed, p8_found, p8_near, p9_found, p9_restored)}
 
 
 _P5_TEXT = rf"""

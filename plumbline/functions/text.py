@@ -137,7 +137,7 @@ def snippet(text: Column | str, limit: int = 300) -> Column:
 
 def seconds_text(seconds: Column | str) -> Column:
     """A duration as people read it."""
-    s = col(seconds)
+    s = col(seconds).cast("double")
     return F.when(s.isNull(), "n/a").when(s < 60, F.format_string("%.1fs", s)).otherwise(F.format_string("%dm %02ds", (s / 60).cast("int"), (s % 60).cast("int")))
 
 

@@ -30,16 +30,16 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def products(rows: DataFrame, ident: str, vector: str, queries: DataFrame, query_id: str, query_vector: str, normalized: bool = True, keep: int | None = None, block: int = 4096) -> DataFrame:
+def products(rows: DataFrame, ident: str, vector: str, queries: DataFrame, query_id: str, query_vector: str, normalized: bool = True, keep: int | None = None, block: int = 4096, weight: Column | None = None) -> DataFrame:
     """``query_id, ident, score`` of every query against every row, or of the ``keep`` best rows of each query in each partition.
 
     The queries go out in blocks of at most ``block`` vectors, so what is broadcast is bounded; each block is one pass of dense products over
     Arrow batches. With ``keep`` only a partial top leaves a partition, so the shuffle that follows carries ``keep`` rows a query and task.
-    Rows and queries without a vector give nothing.
+    ``weight`` multiplies a row's scores, before the best are taken. Rows and queries without a vector give nothing.
     """
     spark = rows.sparkSession
     schema = "query_id long, ident long, score double"
-    slim = rows.select(F.col(ident).cast("long").alias("ident"), F.col(vector).alias("vec")).where("ident IS NOT NULL AND size(vec) > 0")
+    slim = rows.select(F.col(ident).cast("long").alias("ident"), F.col(vector).alias("vec"), (F.lit(1.0) if weight is None else weight.cast("double")).alias("weight")).where("ident IS NOT NULL AND size(vec) > 0")
     asked = queries.select(F.col(query_id).cast("long").alias("q"), F.col(query_vector).alias("vec")).where("q IS NOT NULL AND size(vec) > 0")
     out: DataFrame | None = None
 
@@ -60,7 +60,7 @@ def products(rows: DataFrame, ident: str, vector: str, queries: DataFrame, query
                 if normalized:
                     norms = np.linalg.norm(m, axis=1, keepdims=True)
                     m = np.divide(m, norms, out=np.zeros_like(m), where=norms > 0)
-                scores = targets @ m.T
+                scores = (targets @ m.T) * batch.column("weight").to_numpy(zero_copy_only=False)
                 if keep is None:
                     yield pa.RecordBatch.from_arrays([pa.array(np.repeat(numbers, len(own))), pa.array(np.tile(own, len(numbers))), pa.array(scores.ravel())], names=["query_id", "ident", "score"])
                     continue

@@ -8,6 +8,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from plumbline.functions.text import normalize_title
 from plumbline.plans.columns import col
@@ -16,8 +17,7 @@ from plumbline.plans.columns import col
 THRESHOLD, PART_SCORE, PART_SHARE, SILENT_KEYED, TIE = 0.82, 0.95, 0.6, 0.9, 1e-9
 
 
-@F.pandas_udf("double")
-def _ratio(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+def _ratios(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for left, right in pairs:
         yield pd.Series([None if a is None or b is None else SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right)], dtype="float64")
 
@@ -31,7 +31,7 @@ def title_similarity(requested: Column | str, found: Column | str) -> Column:
     empty = (a == "") | (b == "")
     part = F.contains(a, b) & (F.length(b) / F.length(a) >= PART_SHARE)
     settled = empty | (a == b) | part
-    ratio = _ratio(F.when(~settled, a), F.when(~settled, b))
+    ratio = F.pandas_udf(_ratios, DoubleType())(F.when(~settled, a), F.when(~settled, b))
     prepended = F.contains(b, a) & ~F.startswith(b, a)
     return F.when(empty, 0.0).when(a == b, 1.0).when(part, PART_SCORE).when(prepended, F.least(ratio, F.lit(THRESHOLD - 0.01))).otherwise(ratio)
 

@@ -148,7 +148,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, CAST(k AS INT) AS chunk_no, CAST(len(p) AS INT) AS n_words, md5(array_to_string(p, ' ')) AS digest FROM c""",
         "display_texts": """
             WITH u AS (SELECT DISTINCT record_id, usage.peak_rss_bytes AS b, floor(usage.wall_seconds) AS s FROM manifest WHERE usage IS NOT NULL)
-            SELECT record_id, CASE WHEN b IS NULL THEN 'n/a' WHEN b < 1024 THEN printf('%.0f B', b::DOUBLE) WHEN b < 1048576 THEN printf('%.1f KB', b / 1024.0) WHEN b < 1073741824 THEN printf('%.1f MB', b / 1048576.0) ELSE printf('%.2f GB', b / 1073741824.0) END AS peak,
+            SELECT record_id, CASE WHEN b IS NULL THEN 'n/a' WHEN b < 1024 THEN printf('%.0f B', b::DOUBLE) WHEN b < 1048576 THEN printf('%.1f KB', round(b / 1024.0, 1)) WHEN b < 1073741824 THEN printf('%.1f MB', round(b / 1048576.0, 1)) ELSE printf('%.2f GB', round(b / 1073741824.0, 2)) END AS peak,
               CASE WHEN s IS NULL THEN 'n/a' WHEN s < 60 THEN printf('%.1fs', s::DOUBLE) ELSE printf('%dm %02ds', CAST(floor(s / 60) AS BIGINT), CAST(s AS BIGINT) % 60) END AS wall FROM u""",
         "hosts": f"SELECT {HOST.format('pdf_url')} AS host, count(*) AS n FROM semantic_candidate GROUP BY 1",
         "allowlist_semi": f"SELECT cand_id, pdf_url FROM (SELECT *, {HOST.format('pdf_url')} AS h FROM semantic_candidate WHERE pdf_url IS NOT NULL) WHERE {_ALLOWED}",

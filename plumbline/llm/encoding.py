@@ -41,7 +41,7 @@ def _script(c: str) -> str:
 
 
 def is_plausible(word: str) -> bool:
-    """Whether letters are of one script, capitals come only first or throughout, and no symbol stands between letters."""
+    """Whether letters are of one script, capitals come only first or throughout, no symbol stands between letters, and no opening quote or degree sign follows one."""
     letters = [c for c in word if c.isalpha()]
     scripts = {_script(c) for c in letters} & _LETTERS
     if len(scripts) > 1 or any("\x80" <= c <= "\x9f" or c == "�" for c in word):
@@ -50,6 +50,8 @@ def is_plausible(word: str) -> bool:
         return False
     if letters and not all(c.isalnum() or c in "'’-‘“”«»„–—…/.,()°%§ºª" for c in word):
         return False
+    if any(a.isalpha() and b in "«“„§°%ºª" for a, b in zip(word, word[1:])):
+        return False
     return bool(letters) or len(word) == 1
 
 

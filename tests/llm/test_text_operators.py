@@ -160,7 +160,7 @@ def test_leak_blocks_of_passages(spark):
 def test_wrong_encodings_are_found_and_put_back(spark):
     clean = "Für die Prüfung müssen Schülerhefte regelmäßig geprüft werden. La sélection dépend du délai observé à Genève – « déjà » vu."
     russian = "Данные о почвах и ледниках не подтвердили прежние методы анализа"
-    docs = [(i, clean) for i in range(6)] + [(i + 10, russian) for i in range(6)]
+    docs = [(i, clean) for i in range(20)] + [(i + 30, russian) for i in range(20)]
     broken = {
         100: clean.encode().decode("cp1252", "replace"), 101: clean.encode().decode("latin-1"), 102: clean.encode().decode("mac-roman"), 103: clean.encode().decode("cp437"), 104: clean.encode("cp1252").decode("cp850"),
         105: clean.encode("cp1252").decode("utf-8", "replace"), 106: russian.encode("cp1251").decode("cp1252", "replace"), 107: russian.encode().decode("latin-1").encode().decode("latin-1"),

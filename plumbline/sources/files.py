@@ -50,11 +50,11 @@ def descriptions(spark: SparkSession, path: str) -> DataFrame:
     return _lines(spark, path).where("value <> '' AND NOT startswith(value, '#')").select(F.col("value").alias("description"))
 
 
-def json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Records of a JSON-lines file with ``line_no`` in file order; lines that can't be read go to ``_corrupt`` and keep their place."""
     bad = "_corrupt"
     rows = spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id())
-    parsed = F.from_json("value", StructType(list(schema.fields)).add(bad, "string"), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
+    parsed = F.from_json("value", StructType.fromDDL(schema).add(bad, "string"), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
     return rows.where("trim(value) <> ''").withColumn("_r", parsed).select("line_no", "_r.*")
 
 

@@ -8,12 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from plumbline.schemas import MANIFEST
 
 
-def log_stream(spark: SparkSession, path: str, schema: StructType = MANIFEST) -> DataFrame:
+def log_stream(spark: SparkSession, path: str, schema: str = MANIFEST) -> DataFrame:
     """Records of JSON-lines files as they are added to a folder."""
     return spark.readStream.schema(schema).json(path)
 

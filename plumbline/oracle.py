@@ -160,6 +160,15 @@ def oracle_sql() -> dict[str, str]:
             WITH u AS (SELECT paper_id, k, pdf_urls[k] AS url, {HOST.format("pdf_urls[k]")} AS h FROM paper, unnest(range(1, len(pdf_urls) + 1)) AS u(k) WHERE trim(pdf_urls[k]) <> ''),
             o AS (SELECT *, NOT regexp_matches(h, 'datadepot|coastcat|gatewire') AS ok FROM u)
             SELECT paper_id, arg_min(url, k) FILTER (WHERE ok) AS url, CASE WHEN bool_or(ok) THEN NULL ELSE string_agg('refused by ' || h, '; ' ORDER BY k) END AS detail FROM o GROUP BY paper_id""",
+        "url_promotion": f"""
+            WITH u AS (SELECT paper_id, list_filter(pdf_urls, lambda u: trim(u) <> '') AS us FROM paper WHERE pdf_urls IS NOT NULL),
+            o AS (SELECT paper_id, list_concat(list_filter(us, lambda u: {HOST.format("u")} IN {ALLOWED}), list_filter(us, lambda u: NOT coalesce({HOST.format("u")} IN {ALLOWED}, false))) AS urls FROM u)
+            SELECT paper_id, urls, urls[2:4] AS alternatives FROM o""",
+        "result_json": """
+            WITH t AS (SELECT query_id, paper_id, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, paper_id) AS pos, key FROM paper WHERE similarity >= 0.70)
+            SELECT query_id, '{"query_id":' || query_id || ',"papers":[' || string_agg('{"paper_id":' || paper_id || ',"similarity_rank":' || pos || CASE WHEN key IS NULL THEN '' ELSE ',"key":' || CAST(to_json(key) AS VARCHAR) END || '}', ',' ORDER BY pos) || ']}' AS json
+            FROM t WHERE pos <= 5 GROUP BY query_id""",
+        "stored_bytes": "SELECT vec_id // 25 AS page_id, count(*) AS n_vectors, CAST(sum(len(embedding)) * 4 AS BIGINT) AS n_bytes FROM embeddings GROUP BY 1",
         "identity_scores": _IDENTITY + "SELECT ident_id, round(score, 4) AS score, round(score * CASE WHEN ver THEN 1.0 ELSE 0.7 END, 3) AS confidence FROM s",
         "pick_best": _POSITIONED + "SELECT req_id, ident_id, CAST(pos AS INT) AS pos FROM b WHERE best",
         "alternatives": _POSITIONED

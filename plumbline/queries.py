@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import text as T
 from plumbline.functions.vectors import products
-from plumbline.operators import attribution, calibrate, chunking, identity, layout, pool, provenance, rank
+from plumbline.operators import attribution, calibrate, chunking, identity, layout, pool, provenance, rank, records, store
 from plumbline.sources import payloads
 from plumbline.sources.tables import table
 
@@ -199,6 +199,17 @@ def alternate_hosts(spark: SparkSession, d: str) -> DataFrame:
     return provenance.first_success(urls.withColumn("ok", ~bad).withColumn("reason", F.concat(F.lit("refused by "), T.host("url"))), ["paper_id"])
 
 
+def url_promotion(spark: SparkSession, d: str) -> DataFrame:
+    urls = records.promoted_urls(F.filter("pdf_urls", lambda u: F.trim(u) != ""), lambda u: T.host(u).isin(*ALLOWED))
+    return table(spark, d, "paper").where("pdf_urls IS NOT NULL").select("paper_id", urls.alias("urls"), records.alternatives(urls).alias("alternatives"))
+
+
+def result_json(spark: SparkSession, d: str) -> DataFrame:
+    """The best papers of each query as one JSON text."""
+    top = rank.top_k(rank.ranked(table(spark, d, "paper"), "query_id", "similarity", "paper_id"))
+    return records.envelope(top, ["query_id"], "similarity_rank", ["paper_id", "similarity_rank", "key"], "papers")
+
+
 # --- identity of citations: tables citation_request and identity_candidate
 
 
@@ -301,6 +312,10 @@ def hot_regions(spark: SparkSession, d: str) -> DataFrame:
     return found.select("page_id", "region_no", "component", "cells", "x0", "y0", "x1", "y1", F.round("share", 4).alias("share"))
 
 
+def stored_bytes(spark: SparkSession, d: str) -> DataFrame:
+    return store.stored_bytes(_patches(spark, d), ["page_id"])
+
+
 # --- page lines: lines of documents, laid out in two columns with a heading; two regions on each page
 
 
@@ -434,7 +449,7 @@ def parse_arxiv(spark: SparkSession, d: str) -> DataFrame:
 ALL = (
     semantic_topk, similarity_distribution, rag_topk, similarity_rank, rank_only_topk, fetchable_first_topk, score_distribution, floor_survivors, scored_pool, bench_report,
     dedup_works, merge_works, truncated_sources, first_errors, expanded_queries, normalize_titles, strip_markup, clean_queries, paper_texts, abstract_from_positions, slugs, point_ids, location_dois, chunks, display_texts,
-    hosts, allowlist_semi, blocked_hosts, fetch_targets, alternate_hosts, identity_scores, pick_best, alternatives, allowed_rerank, title_similarity_pairs,
+    hosts, allowlist_semi, blocked_hosts, fetch_targets, alternate_hosts, url_promotion, result_json, stored_bytes, identity_scores, pick_best, alternatives, allowed_rerank, title_similarity_pairs,
     maxsim_argmax, maxsim_rank, heat_map, box_blur, hot_cells, hot_regions, lines_in_region, words_in_region, reading_order, region_snippets, tiled_layout,
     manifest_last_wins, manifest_queries, status_counts, run_cost, latest_delivery, index_resume, upsert_papers, parse_openalex, parse_europepmc, parse_semantic_scholar, parse_crossref, parse_unpaywall, parse_arxiv,
 )

@@ -36,12 +36,14 @@ def _plain_letters() -> tuple[str, str, tuple[tuple[str, str], ...]]:
 
 
 def without_accents(text: Column | str) -> Column:
-    """Letters without their marks, compatibility forms as ASCII."""
+    """Letters without their marks, compatibility forms as ASCII; ASCII texts pass untouched."""
     source, target, longer = _plain_letters()
-    out = F.translate(col(text), source, target)
-    for c, plain in longer:
-        out = F.replace(out, F.lit(c), F.lit(plain))
-    return F.regexp_replace(out, r"\p{Mn}+", "")
+    t = col(text)
+    plain = F.translate(t, source, target)
+    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(p).alias("p")) for c, p in longer])
+    spelled = F.reduce(pairs, plain, lambda s, x: F.replace(s, x["c"], x["p"]))
+    whole = F.when(t.rlike("[" + "".join(c for c, _ in longer) + "]"), spelled).otherwise(plain)
+    return F.when(t.rlike(r"[^\x00-\x7F]"), F.regexp_replace(whole, r"\p{Mn}+", "")).otherwise(t)
 
 
 def normalize_title(title: Column | str) -> Column:

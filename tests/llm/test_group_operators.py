@@ -110,3 +110,17 @@ def test_doi_keys(spark):
     df = spark.createDataFrame([("doi:10.99/abc.2001.77",), ("https://doi.example/10.9912%2Fabc.2001.77",), ("10. 9912/abc.2001.77.pdf",), ("10.9912/ABC.2001.77?src=rss",), ("abc.2001.77",), (None,), ("",)], "doi string")
     keys = [r[0] for r in df.select(match.doi_key(df.doi)).collect()]
     assert keys == ["abc.2001.77"] * 5 + [None, None]
+
+
+def _found(spark, cited, described):
+    """Pairs of cited and described titles; an entry is a title, or a title and a DOI."""
+    schema = "id long, title string, doi string, url string"
+    make = lambda entries, start: match.records(spark.createDataFrame([(start + k, *(e if isinstance(e, tuple) else (e, None)), None) for k, e in enumerate(entries)], schema), "id", "title", "doi", ("url",))
+    return {(r.ident_a, r.ident_b - 500) for r in match.matches(make(cited, 0), make(described, 500)).collect()}
+
+
+def test_abbreviated_words_are_candidates(spark):
+    tail = ["kelp forests", "moth traps", "salt marshes", "dune fields", "tree rings", "bat calls", "reef mosaics", "grain silos", "dust plumes"]
+    described = [f"Streaming boundary detection for {t} in steep terrain at Zailgis" for t in tail] + [f"Layered density estimation for {t} in steep terrain at Zailgis" for t in tail]
+    cited = ["Streaming boundary detect. for kelp forests in steep terrain at Zailgis", "Layered density est. f. moth traps in steep terrain at Zailgis", "Streaming boundary detect. for bat calls in stp terrain at Zailgis"]
+    assert _found(spark, cited, described) == {(0, 0), (1, 10), (2, 5)}

@@ -124,3 +124,21 @@ def test_abbreviated_words_are_candidates(spark):
     described = [f"Streaming boundary detection for {t} in steep terrain at Zailgis" for t in tail] + [f"Layered density estimation for {t} in steep terrain at Zailgis" for t in tail]
     cited = ["Streaming boundary detect. for kelp forests in steep terrain at Zailgis", "Layered density est. f. moth traps in steep terrain at Zailgis", "Streaming boundary detect. for bat calls in stp terrain at Zailgis"]
     assert _found(spark, cited, described) == {(0, 0), (1, 10), (2, 5)}
+
+
+def _classes(spark, titles):
+    """Title classes of spelled-right titles, as ``title_classes`` gives them."""
+    df = spark.createDataFrame([(k, t.split()) for k, t in enumerate(titles)], "letters long, words array<string>")
+    return df.withColumn("work", match._key(df.words))
+
+
+def _offers(spark, titles):
+    classes = _classes(spark, titles)
+    ident = {r.work: r.letters for r in classes.collect()}
+    return {(ident[r.work], ident[r.parent]) for r in match.parents(classes).collect() if r.gap > 0.5}
+
+
+def test_words_are_unread_by_their_title_not_by_their_count(spark):
+    described = [f"streaming boundary linking {t}{u} steep terrain zailgis" for t in "kelp moth salt dune tree".split() for u in "qa rb sc td ue vf wg xh".split()]
+    twice = ["streaming boundary xqxqxq kelpqa steep terrain zailgis", "streaming boundary xqxqxq mothrb steep terrain zailgis"]
+    assert _offers(spark, described + twice) == {(40, 0), (41, 9)}

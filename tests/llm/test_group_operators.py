@@ -142,3 +142,10 @@ def test_words_are_unread_by_their_title_not_by_their_count(spark):
     described = [f"streaming boundary linking {t}{u} steep terrain zailgis" for t in "kelp moth salt dune tree".split() for u in "qa rb sc td ue vf wg xh".split()]
     twice = ["streaming boundary xqxqxq kelpqa steep terrain zailgis", "streaming boundary xqxqxq mothrb steep terrain zailgis"]
     assert _offers(spark, described + twice) == {(40, 0), (41, 9)}
+
+
+def test_short_titles(spark):
+    whole = ["kelp forests steep terrain zailgis archive evidence", "moth traps dense fog culbiam archive study", "moth ponds dense fog culbiam archive study"]
+    assert _offers(spark, [*whole, "kelp forests", "moth", "moth traps dense"]) == {(3, 0), (5, 1)}
+    cited = ["Moth traps", (None, "10.1234/xyz.2010.555"), ("Dune fields", "10.1234/xyz.2010.777")]
+    assert _found(spark, cited, ["Moth traps!", (None, "doi:10.1234/XYZ.2010.555"), ("Bat calls", "10.1234/xyz.2010.777"), "Tree rings"]) == {(0, 0), (1, 1), (2, 2)}

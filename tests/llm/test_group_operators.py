@@ -149,3 +149,9 @@ def test_short_titles(spark):
     assert _offers(spark, [*whole, "kelp forests", "moth", "moth traps dense"]) == {(3, 0), (5, 1)}
     cited = ["Moth traps", (None, "10.1234/xyz.2010.555"), ("Dune fields", "10.1234/xyz.2010.777")]
     assert _found(spark, cited, ["Moth traps!", (None, "doi:10.1234/XYZ.2010.555"), ("Bat calls", "10.1234/xyz.2010.777"), "Tree rings"]) == {(0, 0), (1, 1), (2, 2)}
+
+
+def test_spelling_sees_every_word_of_a_form(spark):
+    words = spark.createDataFrame([("form", 1), ("forum", 9), ("forms", 8), ("tree", 1), ("trees", 40), ("treed", 9)], "word string, n long")
+    assert {r.word: r.right for r in match.spelling(words).collect()}["form"] == ""
+    assert {r.word: r.right for r in match.spelling(words).collect()}["tree"] == "trees"

@@ -155,3 +155,8 @@ def test_spelling_sees_every_word_of_a_form(spark):
     words = spark.createDataFrame([("form", 1), ("forum", 9), ("forms", 8), ("tree", 1), ("trees", 40), ("treed", 9)], "word string, n long")
     assert {r.word: r.right for r in match.spelling(words).collect()}["form"] == ""
     assert {r.word: r.right for r in match.spelling(words).collect()}["tree"] == "trees"
+
+
+def test_chains_of_parents_end_at_their_last(spark):
+    links = spark.createDataFrame([(1, 2, 0.5), (2, 3, 0.5), (3, 4, 1.0), (7, 8, 1.0), (8, 7, 1.0), (9, 8, 0.5)], "work long, parent long, confidence double")
+    assert {(r.work, r.parent, r.confidence) for r in match.ends(links).collect()} == {(1, 4, 0.25), (2, 4, 0.5), (3, 4, 1.0), (8, 7, 1.0), (9, 7, 0.5)}

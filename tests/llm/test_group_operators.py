@@ -160,3 +160,9 @@ def test_spelling_sees_every_word_of_a_form(spark):
 def test_chains_of_parents_end_at_their_last(spark):
     links = spark.createDataFrame([(1, 2, 0.5), (2, 3, 0.5), (3, 4, 1.0), (7, 8, 1.0), (8, 7, 1.0), (9, 8, 0.5)], "work long, parent long, confidence double")
     assert {(r.work, r.parent, r.confidence) for r in match.ends(links).collect()} == {(1, 4, 0.25), (2, 4, 0.5), (3, 4, 1.0), (8, 7, 1.0), (9, 7, 0.5)}
+
+
+def test_marks_far_behind_a_beginning_bar_it(spark):
+    long = " ".join(f"w{k}x" for k in range(160))
+    assert _offers(spark, [long + " rcply end", long.split(" w40x")[0]]) == set()
+    assert _offers(spark, [long + " end", long.split(" w40x")[0]]) == {(1, 0)}

@@ -110,7 +110,9 @@ def kinds_of(text: str) -> list[str]:
 def _formula(body: str) -> str:
     """A formula in one line of plain signs: fractions as quotients, named signs as characters."""
     body = _sub(r"\\(?:left|right|displaystyle|limits|,|;|!|:)", "", body)
-    for _ in range(4):
+    before = None
+    while body != before:
+        before = body
         body = _sub(r"\\(?:d|t)?frac\s*\{([^{}]*)\}\s*\{([^{}]*)\}", r"(\1)/(\2)", body)
         body = _sub(r"\\sqrt\s*\{([^{}]*)\}", r"√(\1)", body)
         body = _sub(r"\\(?:hat|bar|tilde|vec)\s*\{?([A-Za-z])\}?", lambda m: m[1] + "\u0302", body)
@@ -126,7 +128,7 @@ def _accent(m: re.Match) -> str:
 
 def _unescape(text: str) -> str:
     """Character entities resolved until none is left, so that texts escaped twice come out whole."""
-    for _ in range(4):
+    while True:  # each round shortens the text
         new = _sub(_ENTITY, lambda m: html.unescape(m[0]) if m[0].startswith("&#") or m[0][1:] in html5 else m[0], text)
         if new == text:
             break
@@ -186,7 +188,9 @@ def to_plain(text: str) -> str:
     t = _sub(r"(?m)^\{\|.*$|^\|\}.*$|^\|-.*$", "", t)
     t = _sub(r"(?m)^[|!](?![-}|])[ \t]*(.*)$", lambda m: _sub(r"\s*(?:\|\||!!|\|)\s*", "\t", m[1].rstrip().rstrip("|")), t)
     t = _sub(r"(?m)^\s*:?-{3,}:?(?:[\t|]\s*:?-{3,}:?)*\s*$", "", t)
-    for _ in range(3):
+    before = None
+    while t != before:
+        before = t
         t = _sub(r"\{\{\s*([^{}|]*)((?:\|[^{}]*)?)\}\}", lambda m: " ".join(re.findall(r"\|\s*title\s*=\s*([^|]*)", m[2])), t)
     t = _sub(r"(?i)\[\[(?:file|image|category):[^\[\]]*\]\]", "", t)
     t = _sub(r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]+)\]\]", r"\1", t)
@@ -208,7 +212,9 @@ def to_plain(text: str) -> str:
     t = _sub(r"~?\\(?:cite\w*|ref|eqref|label|pageref|bibliography\w*|usepackage|documentclass)\s*(?:\[[^\]]*\])*\{[^{}]*\}", "", t)
     t = _sub(r"\\([`'^\"~=.cvuHr])\s*\{(\\?[A-Za-z])\}|\\([`'^\"~=.])(\\?[A-Za-z])", lambda m: _accent(re.match(r"(.)\{?(\\?[A-Za-z])", (m[1] or m[3]) + (m[2] or m[4]))), t)
     t = _sub(r"\\footnote\s*\{([^{}]*)\}", r" (\1)", t)
-    for _ in range(4):
+    before = None
+    while t != before:
+        before = t
         t = _sub(r"\\href\{[^{}]*\}\{([^{}]*)\}", r"\1", t)
         t = _sub(r"\\[A-Za-z]+\*?\s*(?:\[[^\]\n]*\])?\{([^{}]*)\}", r"\1", t)
     t = _sub(r"\\([%&$#_{}])", r"\1", t)

@@ -180,3 +180,10 @@ def test_forms_invert():
     for word in ("für", "délai", "почвах", "naïve"):
         for form, chain in encoding.forms(word, True).items():
             assert form != word and chain
+
+
+def test_deep_nesting_leaves_no_residue():
+    assert markup.to_plain("<b>x</b> &" + "amp;" * 7 + "lt; y") == "x < y"
+    assert markup.to_plain("a {{x|" + "{{y|" * 5 + "z" + "}}" * 5 + "}} b").split() == ["a", "b"]
+    assert markup.to_plain("a " + r"\emph{\textbf{" * 4 + "deep" + "}}" * 4 + " b") == "a deep b"
+    assert "frac" not in markup.to_plain("$" + r"\frac{1}{" * 6 + "x" + "}" * 6 + "$")

@@ -51,6 +51,10 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return survivor.survivors(table(spark, d, "paper"), table(spark, d, "source_trust"))
 
 
+def p5_current(spark: SparkSession, d: str) -> DataFrame:
+    return survivor.current(table(spark, d, "paper"), table(spark, d, "source_trust"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     top = topn.top_n(table(spark, d, "manifest"), "query", "paper.similarity", "paper.rank", "record_id", 5)
     return top.select(F.col("grp").alias("query"), F.col("ident").alias("record_id"))
@@ -79,7 +83,7 @@ def p9_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_matches, p3_found, p3_collapsed, p4_found, p4_plain, p5_found, p6_found, p7_packed, p8_found, p8_near, p9_found, p9_restored)}
+    return {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_matches, p3_found, p3_collapsed, p4_found, p4_plain, p5_found, p5_current, p6_found, p7_packed, p8_found, p8_near, p9_found, p9_restored)}
 
 
 _P5_TEXT = rf"""

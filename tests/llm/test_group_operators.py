@@ -55,12 +55,33 @@ def test_survivors(spark):
     df = spark.createDataFrame(data, schema)
     expected = sorted([("k", "title", 1), ("k", "abstract", 1), ("k", "pdf_urls", 2), ("k", "retrieval_sources", 2), ("tie", "title", 7), ("tie", "abstract", 7), ("tie", "pdf_urls", 7), ("tie", "retrieval_sources", 7)])
     assert rows(survivor.survivors(df, trust)) == expected
-    wide = survivor.with_trust(df, trust, max_sources=1).select("paper_id", "_trust").distinct()
-    assert rows(wide) == rows(survivor.with_trust(df, trust).select("paper_id", "_trust").distinct())
+    many = trust.unionByName(spark.createDataFrame([(f"s{k}", 99) for k in range(1001)] + [("neg", -5)], "source string, trust int"))
+    more = spark.createDataFrame([(11, "m", "T", None, None, [None, "neg"], None, None), (12, "m", "T", None, None, ["s1000", "x"], None, None), (12, "n", "T", None, None, ["x"], None, None), (13, "m", "T", None, None, None, None, None)], schema)
+    assert rows(survivor.with_trust(df.unionByName(more), many).where("paper_id > 10").select("paper_id", "key", "_trust")) == [(11, "m", -5), (12, "m", 99), (12, "n", 0), (13, "m", 0)]
     assert rows(survivor.survivors(df.limit(0), trust)) == []
     assert len(rows(survivor.survivors(df, trust.limit(0)))) == 8
 
 
+def test_order_of_states_is_learned_from_timestamped_rows(spark):
+    schema = "paper_id long, key string, title string, abstract string, pdf_urls array<string>, retrieval_sources array<string>, updated_at timestamp"
+    day = lambda k: dt.datetime(2024, 1, k)
+    data = [(10 * k + j, f"k{k}", t, None, None, ["good"], day(1 + j)) for k in range(20) for j, t in enumerate(["A TITLE CUT...", "A TITLE", "A title"])]
+    data += [(900, "u", "B TITLE", None, None, ["good"], day(1)), (901, "u", "B title", None, None, ["good"], None), (902, "u", "B tit...", None, None, ["good"], None)]
+    data += [(910, "v", "C title", None, None, ["good"], day(1)), (911, "v", "C TITLE", None, None, ["good"], None), (920, "w", "D tit...", None, None, ["good"], None), (921, "w", "D title", None, None, ["good"], None)]
+    df, trust = spark.createDataFrame(data, schema), spark.createDataFrame([("good", 90)], "source string, trust int")
+    learned = survivor.precedence(survivor.transitions(df)["title"])
+    assert learned == {"cut": {"shouted", "whole"}, "shouted": {"whole"}}
+    of = lambda found: {r.key: r.paper_id for r in found.where("field = 'title' AND key < 'x' AND key > 'kz'").collect()}
+    assert of(survivor.current(df, trust)) == {"u": 901, "v": 910, "w": 921}
+    assert of(survivor.survivors(df, trust)) == {"u": 900, "v": 910, "w": 920}
+    assert survivor.current(df.limit(0), trust).count() == 0
+
+
+def test_precedence_has_no_circle():
+    later = survivor.precedence({("a", "b"): 90, ("b", "c"): 80, ("c", "a"): 70, ("a", "d"): 3, ("d", "a"): 2})
+    assert later == {"a": {"b", "c"}, "b": {"c"}}
+
+
 # --- p6
 
 

@@ -47,6 +47,10 @@ def p4_plain(spark: SparkSession, d: str) -> DataFrame:
     return plain.select(F.col("ident").alias("cand_id"), F.col("text").alias("abstract"), "kinds")
 
 
+def p4_differenced(spark: SparkSession, d: str) -> DataFrame:
+    return markup.differenced(table(spark, d, "semantic_candidate"), "cand_id", "landing_url", "abstract").withColumnsRenamed({"ident": "cand_id", "text": "abstract"})
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return survivor.survivors(table(spark, d, "paper"), table(spark, d, "source_trust"))
 
@@ -65,6 +69,14 @@ def p7_packed(spark: SparkSession, d: str) -> DataFrame:
     return packed.withColumnRenamed("ident", "doc_id")
 
 
+def p7_checked(spark: SparkSession, d: str) -> DataFrame:
+    """What holds of the packing for each kind of container: every text placed, nothing over the capacity, no more containers than one in a hundred above the sum of tokens."""
+    packed, sizes = p7_packed(spark, d), table(spark, d, "container_size")
+    filled = packed.groupBy("container", "container_no").agg(F.sum("tokens").alias("filled"), F.count("*").alias("n"))
+    kinds = filled.join(F.broadcast(sizes), "container").groupBy("container").agg(F.max(F.greatest(F.col("filled") - F.col("capacity_tokens"), F.lit(0))).alias("over"), (F.count("*") <= F.ceil(F.sum("filled") / F.first("capacity_tokens") * 1.01) + 1).alias("tight"))
+    return packed.groupBy("container").agg(F.countDistinct("doc_id").alias("texts")).join(kinds, "container").select("container", "texts", F.col("over").cast("long").alias("over"), "tight")
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     near = leak.leaks(table(spark, d, "documents"), table(spark, d, "eval_item"), "doc_id", "text", words=12)
     return near.where("words >= 12").select("doc_id", "item_id")
@@ -83,7 +95,7 @@ def p9_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_matches, p3_found, p3_collapsed, p4_found, p4_plain, p5_found, p5_current, p6_found, p7_packed, p8_found, p8_near, p9_found, p9_restored)}
+    return {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_matches, p3_found, p3_collapsed, p4_found, p4_plain, p4_differenced, p5_found, p5_current, p6_found, p7_packed, p7_checked, p8_found, p8_near, p9_found, p9_restored)}
 
 
 _P5_TEXT = rf"""
@@ -131,6 +143,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT DISTINCT a.paper_id AS paper_id_a, b.paper_id AS paper_id_b, field FROM s a JOIN s b USING (field, look) WHERE a.paper_id < b.paper_id AND a.text <> b.text""",
         "p1_forms": f"SELECT paper_id, {look.form_sql('title')} AS title, {look.form_sql('abstract')} AS abstract FROM paper",
         "p5_found": _P5,
+        "p7_checked": "SELECT container, (SELECT count(DISTINCT doc_id) FROM documents WHERE text IS NOT NULL) AS texts, CAST(0 AS BIGINT) AS over, true AS tight FROM container_size",
         "p8_found": r"""
             WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
             iw AS (SELECT item_id, regexp_extract_all(lower(passage), '[\p{L}\p{N}]+') AS w FROM eval_item),

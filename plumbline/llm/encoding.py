@@ -12,15 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.plans.lineage import cut
+from plumbline.plans.shipping import ship
 
 #: Encodings that text is wrongly read with, and single-byte encodings that text is wrongly read from.
 READ_AS = ("cp1252", "latin-1", "iso8859-15", "mac-roman", "cp437", "cp850", "cp1250", "cp1251", "koi8-r", "cp866")
 WRITTEN_AS = ("cp1252", "mac-roman", "cp1251", "koi8-r", "cp866")
 
-#: A token: a run without ASCII white space that holds a character beyond ASCII; ASCII punctuation at its ends is cut off.
-TOKEN = r"[^\s]*[^\x00-\x7F][^\s]*"
-_ENDS = r"""^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$"""
+#: A token: a run without ASCII white space that holds a character beyond ASCII, or a question mark before a letter; ASCII punctuation at its ends is cut off.
+TOKEN = r"(?<!\S)(?:[\x00-\x7F&&[^\s?]]|\?(?!\p{L}))*+(?:[^\x00-\x7F]|\?(?=\p{L}))\S*"
+_LEAD, _TAIL = r"""^(?:(?!\?\p{L})[!-/:-@\[-`{-~])+""", r"""[!-/:-@\[-`{-~]+$"""
+_ENDS = f"{_LEAD}|{_TAIL}"
 _PIECE = regex.compile(r"[^\x00-\x7F]+")
+_ONE_BYTE = regex.compile(rf"^(?:{'|'.join(WRITTEN_AS)})>(?!utf-8|ascii)[^>]+$")
 _LETTERS = {"LATIN", "GREEK", "CYRILLIC"}
 
 
@@ -55,10 +58,10 @@ def is_plausible(word: str) -> bool:
     return bool(letters) or len(word) == 1
 
 
-def forms(word: str, whole: bool) -> dict[str, str]:
+def forms(word: str, whole: bool, least: int = 2) -> dict[str, str]:
     """Every garbled form of a clean word under each chain, with the chain's name.
 
-    ``whole``: chains between single-byte encodings too, whose forms tell nothing in short pieces.
+    ``whole``: chains between single-byte encodings too, whose forms tell nothing in pieces or in words of up to ``least`` letters.
     """
     out: dict[str, str] = {}
 
@@ -77,6 +80,8 @@ def forms(word: str, whole: bool) -> dict[str, str]:
             add(_read(again, second), f"utf-8>{name}>utf-8>{second}")
         add(again.decode(name, "replace"), f"utf-8>{name}>utf-8>{name}>lost")
     add(raw.decode("ascii", "replace"), "utf-8>ascii>lost")
+    add(word.encode("ascii", "replace").decode(), "?")
+    add(raw.decode("ascii", "replace").replace("\ufffd", "?"), "utf-8>?")
     for source in WRITTEN_AS:
         try:
             raw = word.encode(source)
@@ -84,7 +89,7 @@ def forms(word: str, whole: bool) -> dict[str, str]:
             continue
         add(raw.decode("utf-8", "replace"), f"{source}>utf-8>lost")
         add(raw.decode("ascii", "replace"), f"{source}>ascii>lost")
-        if whole and len(word) > 2:
+        if whole and len(word) > least:
             for name in READ_AS:
                 if name != source:
                     add(_read(raw, name), f"{source}>{name}")
@@ -154,19 +159,41 @@ def garbled(docs: DataFrame, ident: str, text: str) -> DataFrame:
 
     Texts are read once, inside the JVM; what is shuffled are tokens beyond ASCII, counted before the shuffle. Both tables that are joined
     hold distinct words, so a document copied millions of times costs one row of each. Null texts and ASCII texts are never garbled; in
-    lossy chains the original is the most frequent word of that form. Repeated rows give one row for each token; an empty table gives none.
+    lossy chains the original is the most frequent word of that form, and letters lost to a question mark are seen only before another letter. Repeated rows give one row for each token; an empty table gives none.
     """
+    ship(docs.sparkSession)
     found = tokens(docs.where(F.col(ident).isNotNull()), ident, text).where("word <> ''")
     words = cut(found.groupBy("word").agg(F.count("*").alias("n")))
     wrong = cut(garbled_words(words))
     return found.join(wrong, "word").select("ident", "word", "original", "chain").distinct()
 
 
+def _short_forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The forms of words of one or two letters under the chains between single-byte encodings."""
+    for batch in batches:
+        made = [(f, w, n, c) for w, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()) if is_plausible(w) for f, c in forms(w, True, 0).items() if _ONE_BYTE.match(c)]
+        form, original, many, chain = zip(*made) if made else ((), (), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(form, pa.string()), pa.array(original, pa.string()), pa.array(many, pa.int64()), pa.array(chain, pa.string())], names=["form", "original", "times", "chain"])
+
+
 def restored(docs: DataFrame, ident: str, text: str) -> DataFrame:
-    """``ident, text, chains``: the affected documents with every garbled token replaced; several rows of one identifier are restored each."""
-    by_doc = garbled(docs, ident, text).groupBy("ident").agg(
-        F.sort_array(F.collect_list(F.struct((-F.length("word")).alias("k"), "word", "original"))).alias("_swaps"), F.array_sort(F.collect_set("chain")).alias("chains")
-    )
+    """``ident, text, chains``: the affected documents with every garbled token replaced; several rows of one identifier are restored each.
+
+    Each token is replaced once and as a whole, in one pass over the text. Words of one or two letters, which prove no chain between single-byte encodings by themselves, are put
+    back in documents in which longer words show that chain.
+    """
+    found = garbled(docs, ident, text)
+    words = tokens(docs, ident, text).where("length(word) BETWEEN 1 AND 2").groupBy("word").agg(F.count("*").alias("n"))
+    short = words.mapInArrow(_short_forms, "form string, original string, times long, chain string").groupBy(F.col("form").alias("word"), "chain").agg(F.max_by("original", F.struct("times", "original")).alias("original"))
+    shown = found.select("ident", "chain").where(F.col("chain").rlike(_ONE_BYTE.pattern)).distinct()
+    in_them = tokens(docs, ident, text).where("length(word) BETWEEN 1 AND 2").distinct().join(shown, "ident").join(short, ["word", "chain"]).select("ident", "word", "original", "chain")
+    by_doc = found.unionByName(in_them).groupBy("ident", "word").agg(F.max_by("original", F.struct(F.col("chain").rlike(_ONE_BYTE.pattern), "chain")).alias("original"), F.min("chain").alias("chain"))
+    by_doc = by_doc.groupBy("ident").agg(F.map_from_entries(F.collect_list(F.struct("word", "original"))).alias("swaps"), F.array_sort(F.collect_set("chain")).alias("chains"))
     joined = docs.select(F.col(ident).alias("ident"), F.col(text).alias("text")).join(by_doc, "ident")
-    fixed = F.reduce("_swaps", F.col("text"), lambda t, s: F.replace(t, s["word"], s["original"]))
-    return joined.select("ident", fixed.alias("text"), "chains")
+    runs = F.regexp_extract_all("text", F.lit(r"\s+|\S+"), F.lit(0))
+
+    def put_back(run):
+        original = F.try_element_at("swaps", F.regexp_replace(run, _ENDS, ""))
+        return F.when(original.isNull(), run).otherwise(F.concat(F.regexp_extract(run, _LEAD, 0), original, F.regexp_extract(run, _TAIL, 0)))
+
+    return joined.select("ident", F.array_join(F.transform(runs, put_back), "").alias("text"), "chains")

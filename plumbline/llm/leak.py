@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.plans.shipping import ship
+
 Q = 16  # characters of a gram: a power of two, as hashes are doubled up, and less than the 23 that twelve words have at least
 EDITS = 1  # edits that an aligned region may hold
 SLAB = 2_000_000  # characters hashed at once; bounds memory, not texts
@@ -259,6 +261,7 @@ def leaks(docs: DataFrame, items: DataFrame, ident: str, text: str, words: int =
     the corpus is scanned whole, in place, without any shuffle of texts. Null texts, null passages and passages of fewer than ``words`` words
     never match; repeated rows give one row for each pair; empty tables give no rows; other columns are ignored.
     """
+    ship(docs.sparkSession)
     schema = f"{ident} long, item_id long, words int, aligned int"
     out = docs.sparkSession.createDataFrame([], schema)
     slim = docs.select(F.col(ident).cast("long").alias("ident"), F.col(text).alias("text")).where("ident IS NOT NULL AND text IS NOT NULL")

@@ -9,10 +9,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.plans.lineage import cut
+from plumbline.plans.shipping import ship
+from plumbline.plans.sizing import shuffle_partitions
+
 #: Letters of other scripts and the Latin letters of the same shape.
 SHAPES = (
     ("АВСЕНІЈКМОРЅТХаеосрхуіјѕһԁԛԝԚԜҮӀѴѵ", "ABCEHIJKMOPSTXaeocpxyijshdqwQWYIVv"),  # Cyrillic
-    ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοϳ", "ABEZHIKMNOPTYXoj"),  # Greek
+    ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧονρϳ", "ABEZHIKMNOPTYXovpj"),  # Greek
+    ("ՕՏՍԼօհոսզց", "OSULohnuqg"),  # Armenian
 )
 #: Twin code points of one symbol that Unicode's canonical forms keep apart.
 TWINS = ("µ∆∑∏‐‑﹣∙⋅ʼ", "μΔΣΠ---··’")
@@ -45,8 +50,10 @@ def look_sql(column: str) -> str:
     """DuckDB expression of the form in which texts that look the same are equal; for comparing, not for display."""
     single, many = _tables()
     sql = f"nfc_normalize(regexp_replace(regexp_replace({column}, '[{INVISIBLE}]+', '', 'g'), '[\\p{{Zs}}\\t\\n\\r\\v\\f\\x{{85}}\\x{{2028}}\\x{{2029}}]', ' ', 'g'))"
+    chain = sql
     for a, b in many.items():
-        sql = f"replace({sql}, {_quoted(a)}, {_quoted(b)})"
+        chain = f"replace({chain}, {_quoted(a)}, {_quoted(b)})"
+    sql = f"CASE WHEN regexp_matches({column}, '[{''.join(many)}]') THEN {chain} ELSE {sql} END"
     return f"nfc_normalize(translate({sql}, {_quoted(''.join(single))}, {_quoted(''.join(single.values()))}))"
 
 
@@ -85,15 +92,23 @@ def _in_duckdb(sql: str):
 
 
 def looks(df: DataFrame, ident: str, fields: tuple[str, ...]) -> DataFrame:
-    """``ident, field, look, raw``: 128-bit digests of each text's look and of its characters; null and blank texts give no row."""
-    slim = df.select(F.col(ident).cast("long").alias("ident"), *[F.col(f).cast("string").alias(f"t{k}") for k, f in enumerate(fields)])
-    each = " UNION ALL ".join(f"SELECT ident, {_quoted(f)} AS field, t{k} AS text, {look_sql(f't{k}')} AS look FROM batch WHERE t{k} IS NOT NULL" for k, f in enumerate(fields))
-    sql = f"SELECT ident, field, unhex(md5(look)) AS look, unhex(md5(text)) AS raw FROM ({each}) WHERE look <> '' AND regexp_matches(look, '[^ ]')"
-    return slim.where("ident IS NOT NULL").mapInArrow(_in_duckdb(sql), "ident long, field string, look binary, raw binary")
+    """``ident, field, look, raw``: 128-bit digests of each text's look and of its characters; null and blank texts give no row.
+
+    A text of ASCII characters only looks like itself but for the kind of its spaces, which the JVM settles; all others go through DuckDB.
+    """
+    ship(df.sparkSession)
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("text")) for f in fields])).alias("of")
+    texts = df.where(F.col(ident).isNotNull()).select(F.col(ident).cast("long").alias("ident"), each).select("ident", "of.field", "of.text").where("text IS NOT NULL")
+    ascii = ~F.col("text").rlike(r"[^\x00-\x7F]")
+    plain = F.translate("text", "\t\n\r\v\f", " " * 5)
+    settled = texts.where(ascii & F.col("text").rlike(r"[^\s\x0B]")).select("ident", "field", F.unhex(F.md5(plain)).alias("look"), F.unhex(F.md5("text")).alias("raw"))
+    sql = f"SELECT ident, field, unhex(md5(look)) AS look, unhex(md5(text)) AS raw FROM (SELECT ident, field, text, {look_sql('text')} AS look FROM batch) WHERE regexp_matches(look, '[^ ]')"
+    return settled.unionByName(texts.where(~ascii).mapInArrow(_in_duckdb(sql), "ident long, field string, look binary, raw binary"))
 
 
 def forms(df: DataFrame, ident: str, fields: tuple[str, ...]) -> DataFrame:
     """``ident`` and every field in its consistent form; null stays null."""
+    ship(df.sparkSession)
     slim = df.select(F.col(ident).cast("long").alias("ident"), *[F.col(f).cast("string").alias(f"t{k}") for k, f in enumerate(fields)])
     sql = "SELECT ident, " + ", ".join(f"{form_sql(f't{k}')} AS t{k}" for k in range(len(fields))) + " FROM batch"
     out = slim.mapInArrow(_in_duckdb(sql), "ident long, " + ", ".join(f"t{k} string" for k in range(len(fields))))
@@ -104,11 +119,17 @@ def look_alikes(df: DataFrame, ident: str, fields: tuple[str, ...]) -> DataFrame
     """``ident_a, ident_b, field``, a < b: records whose texts look the same but are not the same string.
 
     Looks with one variant only are dropped by a pre-aggregated count of distinct strings before any pair is formed, so copies of one
-    string, however many, meet no one; the join that remains is on (field, look) and its rows are the result itself. Repeated rows give
+    string, however many, meet no one; the join that remains is on (field, look) and its rows are the result itself. Looks with more records than a quarter of an
+    even partition are split by salts on one side (no more than four times the partitions can be that frequent, which bounds the broadcast). Repeated rows give
     each pair once. Null, blank or wholly invisible texts never count; an empty table gives no rows; other columns are ignored.
     """
     rows = looks(df, ident, fields)
     several = rows.groupBy("field", "look").agg(F.min("raw").alias("low"), F.max("raw").alias("high")).where("low < high").select("field", "look")
-    near = rows.join(several, ["field", "look"], "left_semi").distinct()
-    a, b = near.withColumnsRenamed({"ident": "ident_a", "raw": "raw_a"}), near.withColumnsRenamed({"ident": "ident_b", "raw": "raw_b"})
-    return a.join(b, ["field", "look"]).where("ident_a < ident_b AND raw_a <> raw_b").select("ident_a", "ident_b", "field").distinct()
+    near = cut(rows.join(several, ["field", "look"], "left_semi").distinct())
+    salts = shuffle_partitions(df.sparkSession)
+    limit = near.count() // (4 * salts) + 1
+    hot = near.groupBy("field", "look").agg(F.count("*").alias("n")).where(F.col("n") > limit).select("field", "look", F.lit(salts).alias("parts"))
+    near = near.join(F.broadcast(hot), ["field", "look"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    a = near.select("field", "look", F.pmod(F.xxhash64("ident"), F.col("parts")).cast("int").alias("salt"), F.col("ident").alias("ident_a"), F.col("raw").alias("raw_a"))
+    b = near.select("field", "look", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.col("ident").alias("ident_b"), F.col("raw").alias("raw_b"))
+    return a.join(b, ["field", "look", "salt"]).where("ident_a < ident_b AND raw_a <> raw_b").select("ident_a", "ident_b", "field").distinct()

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 from html.entities import html5
 
 import pyarrow as pa
 import regex as re
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.plans.lineage import cut
+from plumbline.plans.shipping import ship
+
 #: Element names of HTML, and of the journal and formula vocabularies that come without a prefix.
 ELEMENTS = (
     "a abbr article b bdi bdo big blockquote body br button caption center cite code col dd del details dfn div dl dt em fig figcaption figure font footer form h1 h2 h3 h4 h5 h6 "
@@ -56,7 +61,7 @@ KINDS = {
     "markdown": re.compile(
         r"(?m)^\ {0,3}\#{1,6}[ \t]+\S|^\ {0,3}(?:```|~~~)|(?<![\w*\\])\*{1,3}(?=[^\s*])[^*\n]*?[^\s*\\]\*{1,3}(?![\w*])|(?<![\w_\\])_{1,3}(?=[^\s_])[^\n]*?[^\s_]_{1,3}(?![\w_])"
         r"|(?<![`\w])`[^`\n]+`(?![`'])|!?\[[^\[\]\n]*\]\((?:[^()\s]|\([^()\s]*\))+(?:\s+\"[^\"]*\")?\)|\[[^\[\]\n]+\]\[[^\[\]\n]*[A-Za-z][^\[\]\n]*\]|^\ {0,3}\[[^\]\n]+\]:\s+\S+|~~[^~\n]+~~"
-        r"|^\ {0,3}>[ \t]+\S|^[ \t]*[-*+][ \t]+\S.*|^\ {0,3}[0-9]{1,3}[.)][ \t]+\S.*\n\ {0,3}[0-9]{1,3}[.)][ \t]+\S|^\ {0,3}\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+\|?[ \t]*$|^\ {0,3}(?:-{3,}|\*{3,}|_{3,}|={3,})[ \t]*$|<https?://[^<>\s]+>"
+        r"|^\ {0,3}>[ \t]+\S|^[ \t]*[-*+][ \t]+(?!p\s*[<>=\u2264\u2265])\S.*|^\ {0,3}[0-9]{1,3}[.)][ \t]+\S.*\n\ {0,3}[0-9]{1,3}[.)][ \t]+\S|^\ {0,3}\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+\|?[ \t]*$|^\ {0,3}(?:-{3,}|\*{3,}|_{3,}|={3,})[ \t]*$|<https?://[^<>\s]+>"
     ),
     "wiki": re.compile(
         r"(?m)^={2,6}[^=\n].*?={2,6}[ \t]*$|\[\[[^\[\]\n]+\]\]|\{\{[^{}]+\}\}|^\{\|.*$|^\|\}|^\|-|(?<!')'{2,5}(?=[^'\s])[^'\n](?:[^\n]*?[^'\s`])?'{2,5}(?!')|(?<!\])\[(?:https?|ftp)://[^\s\]]+(?:[ \t]+[^\]\n]+)?\]|__(?:NO)?TOC__|\#REDIRECT|^[*\#:;]+[ \t]*\S.*\n[*\#:;]+[ \t]*\S"
@@ -206,7 +211,7 @@ def to_plain(text: str) -> str:
     t = _sub(r"(?m)^ {0,3}([0-9]{1,3})[.)][ \t]+(?=\S)", r"• \1: ", t)
     for mark in (r"\*{1,3}", r"_{1,3}", r"~~"):
         t = _sub(rf"(?<![\w*_~\\])({mark})(?=[^\s*_~])([^\n]*?[^\s*_~\\])\1(?![\w*_~])", r"\2", t)
-    t = _sub(r"\\begin\{[^}]*\}(?:\[[^\]]*\])?|\\end\{[^}]*\}", "\n", t)
+    t = _sub(r"\\begin\{(?:tabular|array|longtable)[*x]?\}(?:\[[^\]]*\])?\s*\{(?:[^{}]|\{[^{}]*\})*\}|\\begin\{[^}]*\}(?:\[[^\]]*\])?|\\end\{[^}]*\}", "\n", t)
     t = _sub(r"\\item\s*(?:\[[^\]]*\])?\s*", "\n• ", t)
     t = _sub(r"\\(?:part|chapter|(?:sub)*section|paragraph|title)\*?\s*\{([^{}]*)\}", r"\n\n\1\n", t)
     t = _sub(r"~?\\(?:cite\w*|ref|eqref|label|pageref|bibliography\w*|usepackage|documentclass)\s*(?:\[[^\]]*\])*\{[^{}]*\}", "", t)
@@ -225,7 +230,7 @@ def to_plain(text: str) -> str:
     t = _sub(r"(?<=\S)[ \t]{2,}| +\n", lambda m: "\n" if m[0].endswith("\n") else " ", t)
     t = _sub(r"\(see\s*\)", "", t)
     t = _sub(r"\n{3,}", "\n\n", t)
-    return _sub("\ue000([0-9]+)\ue001", lambda m: kept[int(m[1])], t).strip()
+    return _sub("\ue000([0-9]+)\ue001", lambda m: kept[int(m[1])], t.strip()).strip("\n").rstrip()
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,12 +247,98 @@ def cleaned(df: DataFrame, ident: str, text: str) -> DataFrame:
     Texts without any sign that a construct needs are settled inside the JVM and never reach Python; nothing is shuffled. Null texts stay null;
     empty texts stay empty; repeated rows give one row each; an empty table gives no rows; other columns are ignored.
     """
+    ship(df.sparkSession)
     rows = df.select(F.col(ident).alias("ident"), F.col(text).alias("text"))
     schema = rows.select("ident", "text", F.array().cast("array<string>").alias("kinds")).schema
     holds = F.coalesce(F.col("text").rlike(MAY_HOLD), F.lit(False))
     return rows.where(holds).mapInArrow(_parse, schema).unionByName(rows.where(~holds).withColumn("kinds", F.array().cast("array<string>")))
 
 
+def common_lines(a: list[str], b: list[str]) -> list[int]:
+    """Positions in ``a`` of a longest common subsequence of the lines of both; blank lines never count. Work follows the number of equal pairs, not the product of the lengths."""
+    where: dict[str, list[int]] = {}
+    for k, line in enumerate(b):
+        if line.strip():
+            where.setdefault(line, []).append(k)
+    tails: list[int] = []
+    ends: list[tuple] = []
+    for i, line in enumerate(a):
+        for j in reversed(where.get(line, ())):
+            k = bisect_left(tails, j)
+            link = (i, ends[k - 1] if k else None)
+            if k == len(tails):
+                tails.append(j)
+                ends.append(link)
+            else:
+                tails[k], ends[k] = j, link
+    out, at = [], ends[-1] if ends else None
+    while at:
+        out.append(at[0])
+        at = at[1]
+    return out[::-1]
+
+
+def differenced(df: DataFrame, ident: str, url: str, text: str) -> DataFrame:
+    """``ident, text, shared``: every page without the lines that it shares with the page of the nearest address of its host, before or behind it, and how many lines that were.
+
+    Pages are sorted by host and path over range partitions, so a host that holds a third of all pages is spread over many tasks; each task streams its rows and remembers one. What
+    crosses a boundary is the first and last page of each partition, no more than two for each. Pages without an address, or alone on their host, stay whole; null
+    texts stay null; repeated rows give one row each and differ from each other in nothing, so they end empty; an empty table gives no rows.
+    """
+    parts = F.regexp_extract(F.col(url), "^[a-zA-Z]+://([^/?#]+)", 1)
+    pages = df.select(F.col(ident).cast("long").alias("ident"), F.lower(parts).alias("host"), F.col(url).alias("url"), F.col(text).alias("text"))
+    schema = "ident long, text string, shared int"
+    ship(df.sparkSession)
+    order = ["host", "url", "ident", "text"]
+    sorted_pages = cut(pages.where("host <> '' AND text IS NOT NULL").repartitionByRange(*order).sortWithinPartitions(*order))
+    edges = sorted_pages.withColumn("part", F.spark_partition_id()).mapInArrow(_first_and_last, "part int, last boolean, host string, text string").collect()
+    first, last = ({r.part: (r.host, r.text) for r in edges if r.last == side} for side in (False, True))
+    known = sorted(first)
+    before = {p: last[q] for q, p in zip(known, known[1:])}
+    behind = {p: first[q] for p, q in zip(known, known[1:])}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId()
+        previous, held = before.get(number), None
+
+        def done(row, following):
+            lines = row[2].split("\n")
+            gone = {k for other in (previous, following) if other and other[0] == row[1] for k in common_lines(lines, other[1].split("\n"))}
+            return row[0], "\n".join(x for k, x in enumerate(lines) if k not in gone), len(gone)
+
+        for batch in batches:
+            out = []
+            for row in zip(*(batch.column(c).to_pylist() for c in ("ident", "host", "text"))):
+                if held:
+                    out.append(done(held, row[1:]))
+                    previous = held[1:]
+                held = row
+            if out:
+                yield _batch(out)
+        if held:
+            yield _batch([done(held, behind.get(number))])
+
+    rest = pages.where("host IS NULL OR host = '' OR text IS NULL").select("ident", "text", F.lit(0).alias("shared"))
+    return sorted_pages.mapInArrow(run, schema).unionByName(rest)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    ids, texts, shared = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string()), pa.array(shared, pa.int32())], names=["ident", "text", "shared"])
+
+
+def _first_and_last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first and the last page of a partition."""
+    first = last = None
+    for batch in batches:
+        if batch.num_rows:
+            slim = batch.select(["part", "host", "text"])
+            first, last = first or slim.slice(0, 1), slim.slice(slim.num_rows - 1, 1)
+    if first is not None:
+        for side, one in ((False, first), (True, last)):
+            yield pa.RecordBatch.from_arrays([one.column(0), pa.array([side]), one.column(1), one.column(2)], names=["part", "last", "host", "text"])
+
+
 def with_markup(df: DataFrame, ident: str, text: str) -> DataFrame:
     """``ident`` of every text in which the converter found markup."""
     return cleaned(df.where(F.col(text).rlike(MAY_HOLD)), ident, text).where("size(kinds) > 0").select("ident").distinct()

@@ -3,37 +3,49 @@
 from __future__ import annotations
 
 import base64
+import os
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.plans.lineage import cut
+from plumbline.plans.shipping import ship
 from plumbline.plans.sizing import shuffle_partitions
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
-_RANK_BITS = 44  # ranks within a size; sizes take the bits above
 
 
 @lru_cache(maxsize=4)
-def _encoder(path: str):
-    import public_tokenizers
+def _encoder(path: str, pattern: str):
     import tiktoken
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("corpus", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def token_counts(docs: DataFrame, ident: str, text: str, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``ident, tokens`` of every whole text; null texts give no row, empty texts have 0 tokens."""
+def token_counts(docs: DataFrame, ident: str, text: str, vocabulary: str = VOCABULARY, pattern: str | None = None) -> DataFrame:
+    """``ident, tokens`` of every whole text; null texts give no row, empty texts have 0 tokens.
+
+    The vocabulary file is read where the driver runs and sent to the executors with the job; ``pattern`` splits texts into words (None: that of the public tokenizers).
+    """
+    if not os.path.isfile(vocabulary):
+        raise FileNotFoundError(f"no vocabulary file {vocabulary}")
+    if pattern is None:
+        from public_tokenizers import PATTERN as pattern
+    ship(docs.sparkSession)
+    docs.sparkSession.sparkContext.addFile(vocabulary)
+    name = os.path.basename(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(vocabulary).encode_ordinary
+        encode = _encoder(SparkFiles.get(name), pattern).encode_ordinary
         for batch in batches:
             n = np.fromiter((len(encode(t)) for t in batch.column("text").to_pylist()), np.int64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column("ident"), pa.array(n)], names=["ident", "tokens"])
@@ -110,7 +122,7 @@ def pack(docs: DataFrame, capacities: DataFrame, ident: str, text: str, vocabula
     Texts are tokenized once, whole, where they lie; from then on only (identifier, length) moves. Items of one size are ranked
     in two levels, by size and hash bucket, so a length that a third of all texts share is still spread over all tasks. What reaches
     the driver is the number of items of each size, at most one row for each size up to the capacities; what is broadcast is the plan over
-    these sizes. Null texts and null identifiers are left out; empty texts take no space and lie in container 0; repeated rows are placed
+    these sizes, whose rows are at most the sizes times the different gaps they meet. Null texts and null identifiers are left out; empty texts take no space and lie in container 0; repeated rows are placed
     each; without texts or kinds of container there are no rows; other columns are ignored.
     """
     spark = docs.sparkSession
@@ -124,18 +136,19 @@ def pack(docs: DataFrame, capacities: DataFrame, ident: str, text: str, vocabula
     made = {}
     for (container, capacity), counts in plans.items():
         rows = np.array(sorted(best_fit(counts, capacity)[0]), np.int64).reshape(-1, 4)
-        made[container, capacity] = ((rows[:, 0] << _RANK_BITS) | rows[:, 1], rows[:, 1], rows[:, 2], rows[:, 3])
+        sizes = np.array(sorted(counts), np.int64)
+        before_size = np.cumsum([0, *[counts[x] for x in sizes.tolist()]])[:-1]  # items of smaller sizes: numbers all items from 0, whatever their sizes
+        made[container, capacity] = (sizes, before_size, before_size[np.searchsorted(sizes, rows[:, 0])] + rows[:, 1], rows[:, 1], rows[:, 2], rows[:, 3])
     shared = spark.sparkContext.broadcast(made)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            container, capacity = batch.column("container").to_pylist(), batch.column("capacity").to_pylist()
             size, rank = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tokens", "rank"))
             number = np.zeros(batch.num_rows, np.int64)
-            kind = np.array([hash(x) for x in zip(container, capacity)])
-            for key, (start, first_rank, first, fill) in shared.value.items():
-                own = np.flatnonzero((kind == hash(key)) & (size > 0))
-                row = np.searchsorted(start, (size[own] << _RANK_BITS) | rank[own], side="right") - 1
+            for (container, capacity), (sizes, before_size, start, first_rank, first, fill) in shared.value.items():
+                same = pc.and_(pc.equal(batch.column("container"), container), pc.equal(batch.column("capacity"), capacity))
+                own = np.flatnonzero(same.to_numpy(zero_copy_only=False).astype(bool) & (size > 0))
+                row = np.searchsorted(start, before_size[np.searchsorted(sizes, size[own])] + rank[own], side="right") - 1
                 number[own] = first[row] + (rank[own] - first_rank[row]) // fill[row]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("container"), pa.array(number), batch.column("ident"), batch.column("piece"), batch.column("tokens")],

@@ -10,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.plans.shipping import ship
+
 
 def _emit_first(n: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Keeps the first ``n`` distinct identifiers of each run of equal groups; state is one group name and at most ``n`` identifiers."""
@@ -49,6 +51,7 @@ def top_n(df: DataFrame, group: str, score: str, rank: str, ident: str, n: int =
     Rows whose group, score or identifier is null or whose score is NaN never count. An identifier that comes several times in a group counts
     once, with its best row. Groups of fewer rows return all; an empty table gives no rows; other columns of any name are ignored.
     """
+    ship(df.sparkSession)
     rows = df.select(
         F.expr(group).alias("grp"), F.expr(ident).alias("ident"), F.expr(score).cast("double").alias("score"), F.expr(rank).cast("long").alias("rank")
     ).where("grp IS NOT NULL AND ident IS NOT NULL AND score IS NOT NULL AND NOT isnan(score)")

@@ -187,3 +187,79 @@ def test_deep_nesting_leaves_no_residue():
     assert markup.to_plain("a {{x|" + "{{y|" * 5 + "z" + "}}" * 5 + "}} b").split() == ["a", "b"]
     assert markup.to_plain("a " + r"\emph{\textbf{" * 4 + "deep" + "}}" * 4 + " b") == "a deep b"
     assert "frac" not in markup.to_plain("$" + r"\frac{1}{" * 6 + "x" + "}" * 6 + "$")
+
+
+def test_markup_residue_and_indented_code():
+    assert markup.to_plain(r"x \begin{tabular}{l|p{2cm}} a & b\end{tabular}").split() == ["x", "a", "&", "b"]
+    assert markup.to_plain("<pre>a\n  b</pre> end").split("\n")[0] == "    a"
+    assert markup.kinds_of("* p < 0.05, ** p < 0.01") == []
+    assert markup.to_plain(r"\textbf{\emph{\underline{\texttt{\textsc{deep}}}}}") == "deep"
+
+
+def test_differenced_pages_against_pairs(spark):
+    pages = [(k, f"http://h{k % 2}.example/p/{k:03d}", f"head {k % 2}\ntext {k}\n\nfoot") for k in range(40)]
+    pages += [(90, None, "alone\nfoot"), (91, "http://x.example/1", "head 0\nonly"), (92, "http://h0.example/p/000b", None), (93, "http://h0.example/zz", "")]
+    df = spark.createDataFrame([(*p, 1) for p in pages], "id long, url string, a string, shared int").repartition(7)
+    expected = sorted([(k, f"text {k}\n", 2) for k in range(40)] + [(90, "alone\nfoot", 0), (91, "head 0\nonly", 0), (93, "", 0)])
+    got = markup.differenced(df, "id", "url", "a")
+    assert rows(got.where("text IS NOT NULL")) == expected and got.where("text IS NULL").count() == 1
+    assert rows(markup.differenced(df.limit(0), "id", "url", "a")) == []
+
+
+def test_common_lines_are_a_longest_subsequence():
+    def longest(a, b):
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        return best[-1][-1]
+
+    rnd = random.Random(8)
+    for _ in range(300):
+        a, b = ([rnd.choice("abcd") for _ in range(rnd.randint(0, 12))] for _ in range(2))
+        at = markup.common_lines(a, b)
+        assert len(at) == longest(a, b) and at == sorted(set(at))
+        rest = iter(b)
+        assert all(a[k] in rest for k in at)
+
+
+def test_hot_look_is_split(spark):
+    df = spark.createDataFrame([(k, "caf\u00e9" if k % 2 else "cafe\u0301") for k in range(60)] + [(100, "CAF\u00c9"), (101, "tab\there"), (102, "tab here"), (103, "\t\n")], "id long, t string")
+    expected = sorted([(a, b, "t") for a in range(60) for b in range(a + 1, 60) if (a + b) % 2] + [(101, 102, "t")])
+    assert rows(look.look_alikes(df, "id", ("t",))) == expected
+
+
+def test_large_containers(spark):
+    docs = spark.createDataFrame([(k, n) for k, n in enumerate([600_000, 300_000, 100_000, 990_000, 5_000, 5_000, 600_000])], "ident long, tokens long")
+    counted = packing.pieces(docs, spark.createDataFrame([("l", 1_000_000)], "container string, capacity_tokens int")).groupBy("tokens").count().collect()
+    plan, used = packing.best_fit({r.tokens: r["count"] for r in counted}, 1_000_000)
+    assert used == 3
+    vocabulary = packing.token_counts
+    packing.token_counts = lambda d, *_: d.select("ident", "tokens")
+    try:
+        out = packing.pack(docs, spark.createDataFrame([("l", 1_000_000)], "container string, capacity_tokens int"), "ident", "tokens").collect()
+    finally:
+        packing.token_counts = vocabulary
+    load = collections.Counter()
+    for r in out:
+        load[r.container_no] += r.tokens
+    assert len(out) == 7 and len(load) == 3 and max(load.values()) <= 1_000_000
+    with pytest.raises(FileNotFoundError):
+        packing.token_counts(docs, "ident", "tokens", "/nowhere/x.tiktoken")
+
+
+def test_restored_by_chain(spark):
+    clean = ["Für die Prüfung müssen Schülerhefte regelmäßig geprüft werden", "La sélection dépend du délai observé à Genève", "È già così però più in là"]
+    docs = [(10 * k + j, t) for j, t in enumerate(clean) for k in range(12)]
+    lost = lambda t: t.encode("ascii", "replace").decode()
+    chains = {
+        "utf-8 as latin-1": lambda t: t.encode().decode("latin-1"), "utf-8 as cp437": lambda t: t.encode().decode("cp437"), "twice": lambda t: t.encode().decode("latin-1").encode().decode("latin-1"),
+        "cp1252 as mac-roman": lambda t: t.encode("cp1252").decode("mac-roman"), "lost": lost,
+    }
+    broken = {1000 + 10 * c + j: (name, t, f(t)) for c, (name, f) in enumerate(chains.items()) for j, t in enumerate(clean)}
+    df = spark.createDataFrame(docs + [(k, b) for k, (_, _, b) in broken.items()] + [(5000, "Is it? Yes?no maybe http://a.example/x?id=3")], "doc_id long, text string")
+    back = {r.ident: r.text for r in encoding.restored(df, "doc_id", "text").collect()}
+    exact = collections.Counter(name for k, (name, t, _) in broken.items() if back.get(k) == t)
+    assert set(back) == set(broken) - {1042}  # there every lost letter ends its word, where a question mark may be one
+    assert all(exact[name] == 3 for name in ("utf-8 as latin-1", "utf-8 as cp437", "twice", "cp1252 as mac-roman")), exact
+    assert exact["lost"] == 1 and "Sch?ler" not in back[1040] and "d?lai" not in back[1041]

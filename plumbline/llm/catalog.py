@@ -98,10 +98,43 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (p1_found, p1_forms, p2_found, p2_matches, p3_found, p3_collapsed, p4_found, p4_plain, p4_differenced, p5_found, p5_current, p6_found, p7_packed, p7_checked, p8_found, p8_near, p9_found, p9_restored)}
 
 
+#: Fixed values of the counterpart of p1_found, apart from the operator's own: signs and letters, and what has the same shape.
+_P1_PAIRS = (
+    ("АВЕЅІЈКМНОРСТХҮԚԜѴӀ", "ABESIJKMHOPCTXYQWVI"), ("асеһіјорѕухԁԛԝѵ", "acehijopsyxdqwv"),
+    ("ЁЇЀӐӒӖӦ", "ËÏÈĂÄĔÖ"), ("ёїѐӑӓӗӧ", "ëïèăäĕö"),
+    ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "ABEZHIKMNOPTYX"), ("νορϳ", "vopj"), ("ΆΈΊΌΎΪΫό", "ÁÉÍÓÝÏŸó"), ("ՕՏՍԼօհոսզց", "OSULohnuqg"),
+    ("µ∆∑∏‐‑﹣∙⋅ʼ", "μΔΣΠ---··’"), ("￠￡￢￤￥￦", "¢£¬¦¥₩"),
+    ("｡｢｣､･ｦｧｨｩｪｫｬｭｮｯｰｱｲｳｴｵｶｷｸｹｺｻｼｽｾｿﾀﾁﾂﾃﾄﾅﾆﾇﾈﾉﾊﾋﾌﾍﾎﾏﾐﾑﾒﾓﾔﾕﾖﾗﾘﾙﾚﾛﾜﾝ", "。「」、・ヲァィゥェォャュョッーアイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワン"),
+)
+_P1_WORDS = {"ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "st", "ﬆ": "st", "Ĳ": "IJ", "ĳ": "ij", "ﾞ": "\u3099", "ﾟ": "\u309a"}
+
+
+def _p1_sql() -> str:
+    """Texts taken apart into characters, each put in its plain form by number or by the list above, and put together again."""
+    each = {a: b for x, y in _P1_PAIRS for a, b in zip(x, y, strict=True)} | _P1_WORDS
+    forms = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in each.items()) + "}"
+    gone = "[\\x{AD}\\x{34F}\\x{61C}\\x{115F}\\x{1160}\\x{17B4}\\x{17B5}\\x{180B}-\\x{180F}\\x{200B}-\\x{200F}\\x{202A}-\\x{202E}\\x{2060}-\\x{206F}\\x{FE00}-\\x{FE0F}\\x{FEFF}\\x{FFF9}-\\x{FFFB}\\x{E0000}-\\x{E0FFF}]"
+    spaces = "[\\p{Zs}\\t\\n\\r\\v\\f\\x{85}\\x{2028}\\x{2029}]"
+    return f"""
+        WITH forms AS (SELECT {forms} AS m),
+        t AS (SELECT paper_id, 'title' AS field, title AS text FROM paper UNION ALL SELECT paper_id, 'abstract', abstract FROM paper),
+        c AS (SELECT paper_id, field, text, string_split(nfc_normalize(regexp_replace(regexp_replace(text, '{gone}', '', 'g'), '{spaces}', ' ', 'g')), '') AS chars FROM t WHERE text IS NOT NULL),
+        s AS (SELECT paper_id, field, text, nfc_normalize(array_to_string(list_transform(chars, lambda x: CASE WHEN x <> '' AND unicode(x) BETWEEN 65281 AND 65374 THEN chr(CAST(unicode(x) - 65248 AS INTEGER)) ELSE coalesce(m[x], x) END), '')) AS look FROM c, forms)
+        SELECT DISTINCT a.paper_id AS paper_id_a, b.paper_id AS paper_id_b, field FROM s a JOIN s b USING (field, look)
+        WHERE trim(look) <> '' AND a.paper_id < b.paper_id AND a.text <> b.text"""
+
+
+#: Whole statements that there is no title or abstract, for the counterpart of p5_found; written apart from the operator's own list.
+_P5_NONE = (
+    "(n ?/? ?a|none|nil|null|empty|missing|unknown|untitled|untitled (document|record|item|work)"
+    "|(no|without) (title|abstract|text)( (is|was))?( (available|provided|given|supplied|found))?"
+    "|(the )?(title|abstract) ?[:=-]? ?((is|was) )?(null|none|n ?/? ?a|missing|unavailable|unknown|empty|not (available|provided|given|supplied)|withheld( .*)?)"
+    "|there is no (title|abstract)( (for|in|of|available)( .*)?)?|this (record|item|entry|work) (does not (contain|have|include)|has no|lacks) (an? )?(title|abstract)([^a-z0-9_].*)?)"
+)
 _P5_TEXT = rf"""
   SELECT key, paper_id, updated_at, '{{f}}' AS field, {{worth}} AS worth FROM t WHERE {{f}} IS NOT NULL
     AND regexp_replace(lower({{f}}), '^[^\p{{{{L}}}}\p{{{{N}}}}]+|[^\p{{{{L}}}}\p{{{{N}}}}]+$', '', 'g') <> ''
-    AND NOT regexp_matches(regexp_replace(lower({{f}}), '^[^\p{{{{L}}}}\p{{{{N}}}}]+|[^\p{{{{L}}}}\p{{{{N}}}}]+$', '', 'g'), '(?s)^(?:{survivor.NOTHING})$')"""
+    AND NOT regexp_full_match(trim(regexp_replace(regexp_replace(lower({{f}}), '^[^\p{{{{L}}}}\p{{{{N}}}}]+|[^\p{{{{L}}}}\p{{{{N}}}}]+$', '', 'g'), '\s+', ' ', 'g')), '{_P5_NONE}', 's')"""
 _P5_LIST = """
   SELECT key, paper_id, updated_at, '{f}', n FROM (
     SELECT *, len(list_distinct(list_filter({f}, lambda v: v IS NOT NULL AND trim(v) <> ''))) AS n FROM t) WHERE n > 0"""
@@ -136,12 +169,8 @@ WITH k AS (
 
 
 def oracle_sql() -> dict[str, str]:
-    seen = " UNION ALL ".join(f"SELECT paper_id, '{f}' AS field, {f} AS text, {look.look_sql(f)} AS look FROM paper WHERE {f} IS NOT NULL" for f in ("title", "abstract"))
     return {
-        "p1_found": f"""
-            WITH s AS (SELECT * FROM ({seen}) WHERE trim(look) <> '')
-            SELECT DISTINCT a.paper_id AS paper_id_a, b.paper_id AS paper_id_b, field FROM s a JOIN s b USING (field, look) WHERE a.paper_id < b.paper_id AND a.text <> b.text""",
-        "p1_forms": f"SELECT paper_id, {look.form_sql('title')} AS title, {look.form_sql('abstract')} AS abstract FROM paper",
+        "p1_found": _p1_sql(),
         "p5_found": _P5,
         "p7_checked": "SELECT container, (SELECT count(DISTINCT doc_id) FROM documents WHERE text IS NOT NULL) AS texts, CAST(0 AS BIGINT) AS over, true AS tight FROM container_size",
         "p8_found": r"""

@@ -10,8 +10,8 @@ from plumbline.operators import attribution, identity, pool, rank
 
 
 def resolve_citations(requests: DataFrame, candidates: DataFrame, hosts: DataFrame | None = None) -> DataFrame:
-    """Candidates of each request (``req_id, title, doi``) that prove to be the work, best copy first (``final_pos``), with ``score`` and ``confidence``."""
-    asked = requests.select("req_id", F.col("title").alias("_title"), F.col("doi").alias("_doi")).dropDuplicates(["req_id"])
+    """Of a request given several times the smallest title with its DOI counts. Candidates of each request (``req_id, title, doi``) that prove to be the work, best copy first (``final_pos``), with ``score`` and ``confidence``."""
+    asked = requests.select("req_id", F.col("title").alias("_title"), F.col("doi").alias("_doi")).groupBy("req_id").agg(F.min(F.struct("_title", "_doi")).alias("_r")).select("req_id", "_r.*")
     rows = candidates.join(asked, "req_id").where("pdf_url IS NOT NULL").withColumn("_like", identity.title_similarity("_title", "title"))
     rows = rows.withColumn("score", identity.identity_score("_doi", "doi", "doi_keyed", "_like")).where(F.col("score") >= identity.THRESHOLD).drop("_title", "_doi", "_like")
     rows = identity.candidate_order(rows.withColumn("pdf_verified", F.coalesce("pdf_verified", F.lit(False))), "req_id", "score", "pdf_verified", ["ordinal"])
@@ -29,11 +29,12 @@ def rank_descriptions(descriptions: DataFrame, works: DataFrame, k: int = rank.T
     """The ``k`` works (``work_id, vec, title_only, url``) nearest to each description (``query_id, vec``), fetchable ones first where ``probes`` (``url, ok``) are given."""
     weight = F.when(F.col("title_only"), rank.TITLE_ONLY).otherwise(1.0)
     keep = k if probes is None else rank.MAX_PROBES + k
+    works = works.where("work_id IS NOT NULL")
     near = products(works, "work_id", "vec", descriptions, "query_id", "vec", keep=keep, weight=weight)
-    rows = rank.ranked(near.withColumnsRenamed({"ident": "work_id", "score": "similarity"}), "query_id", "similarity", "work_id", floor)
+    rows = rank.best_ranked(near.withColumnsRenamed({"ident": "work_id", "score": "similarity"}), "query_id", "similarity", "work_id", keep, floor)
     if probes is None:
         return rank.top_k(rows, k).withColumn("rank", F.col("similarity_rank"))
-    known = works.select("work_id", "url").join(probes, "url", "left").select("work_id", F.coalesce("ok", F.lit(False)).alias("ok"))
+    known = works.select("work_id", "url").join(probes.groupBy("url").agg(F.max("ok").alias("ok")), "url", "left").groupBy("work_id").agg(F.max(F.coalesce("ok", F.lit(False))).alias("ok"))
     return rank.fetchable_first(rows.join(known, "work_id"), "query_id", "similarity", "ok", k)
 
 

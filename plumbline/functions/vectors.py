@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.plans.columns import col
+from plumbline.plans.shipping import ship
 
 
 def dot(a: Column | str, b: Column | str) -> Column:
@@ -38,6 +39,7 @@ def products(rows: DataFrame, ident: str, vector: str, queries: DataFrame, query
     ``weight`` multiplies a row's scores, before the best are taken. Rows and queries without a vector give nothing.
     """
     spark = rows.sparkSession
+    ship(spark)
     schema = "query_id long, ident long, score double"
     slim = rows.select(F.col(ident).cast("long").alias("ident"), F.col(vector).alias("vec"), (F.lit(1.0) if weight is None else weight.cast("double")).alias("weight")).where("ident IS NOT NULL AND size(vec) > 0")
     asked = queries.select(F.col(query_id).cast("long").alias("q"), F.col(query_vector).alias("vec")).where("q IS NOT NULL AND size(vec) > 0")
@@ -67,7 +69,12 @@ def products(rows: DataFrame, ident: str, vector: str, queries: DataFrame, query
                 ids_here = np.broadcast_to(own, scores.shape)
                 if best_score is not None:
                     scores, ids_here = np.hstack([best_score, scores]), np.hstack([best_id, ids_here])
-                order = np.lexsort((ids_here, -np.round(scores, 9)), axis=1)[:, :keep]
+                close = np.round(scores, 9)
+                if scores.shape[1] > keep:  # only rows that reach the keep-th score of some query are sorted, ties at that score included
+                    least = np.partition(close, -keep, axis=1)[:, -keep]
+                    alive = np.flatnonzero((close >= least[:, None]).any(axis=0))
+                    scores, ids_here, close = scores[:, alive], ids_here[:, alive], close[:, alive]
+                order = np.lexsort((ids_here, -close), axis=1)[:, :keep]
                 best_score, best_id = np.take_along_axis(scores, order, 1), np.take_along_axis(ids_here, order, 1)
             if best_score is not None:
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(numbers, best_id.shape[1])), pa.array(best_id.ravel()), pa.array(best_score.ravel())], names=["query_id", "ident", "score"])

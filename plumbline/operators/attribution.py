@@ -10,22 +10,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.plans.shipping import ship
+
 #: Standard deviations above the mean that make a cell hot, reach of the blur, characters of a snippet, share of the span that makes a line wide.
 HOT_SIGMA, BLUR, SNIPPET, WIDE = 0.5, 1, 300, 0.7
 
 
-def token_maxima(patches: DataFrame, tokens: DataFrame, max_tokens: int = 4096) -> DataFrame:
+def token_maxima(patches: DataFrame, tokens: DataFrame, block: int = 4096) -> DataFrame:
     """``page_id, tok, best, patch_idx``: for each page and query token the largest product and the first patch that has it.
 
-    The tokens of one query (at most ``max_tokens``) are a broadcast matrix; products are dense blocks over Arrow batches, reduced to one row for each
+    The tokens go out in blocks of at most ``block``, each a broadcast matrix and one pass over the patches; products are dense blocks over Arrow batches, reduced to one row for each
     page and token within a batch, so the shuffle by page carries maxima, not products.
     """
-    rows = tokens.select("tok", "vec").where("size(vec) > 0").orderBy("tok").limit(max_tokens + 1).collect()
-    if len(rows) > max_tokens:
-        raise ValueError(f"a query of more than {max_tokens} tokens; score it in parts")
+    ship(patches.sparkSession)
     schema = "page_id long, tok int, best double, patch_idx int"
-    if not rows:
-        return patches.sparkSession.createDataFrame([], schema)
+    rows: list = []
+    part = patches.sparkSession.createDataFrame([], schema)
+    for row in tokens.select("tok", "vec").where("size(vec) > 0").orderBy("tok").toLocalIterator():
+        rows.append(row)
+        if len(rows) == block:
+            part, rows = part.unionByName(_block_maxima(patches, rows, schema)), []
+    if rows:
+        part = part.unionByName(_block_maxima(patches, rows, schema))
+    top = F.max(F.struct("best", (-F.col("patch_idx")).alias("first"))).alias("top")
+    return part.groupBy("page_id", "tok").agg(top).select("page_id", "tok", F.col("top.best").alias("best"), (-F.col("top.first")).alias("patch_idx"))
+
+
+def _block_maxima(patches: DataFrame, rows: list, schema: str) -> DataFrame:
+    """Maxima of one block of tokens within each Arrow batch."""
     numbers, matrix = np.array([r.tok for r in rows], np.int32), np.array([list(r.vec) for r in rows], np.float64)
     shared = patches.sparkSession.sparkContext.broadcast((numbers, matrix))
 
@@ -50,9 +62,7 @@ def token_maxima(patches: DataFrame, tokens: DataFrame, max_tokens: int = 4096)
                 names=["page_id", "tok", "best", "patch_idx"],
             )
 
-    part = patches.select("page_id", "patch_idx", "vec").where("size(vec) > 0").mapInArrow(run, schema)
-    top = F.max(F.struct("best", (-F.col("patch_idx")).alias("first"))).alias("top")
-    return part.groupBy("page_id", "tok").agg(top).select("page_id", "tok", F.col("top.best").alias("best"), (-F.col("top.first")).alias("patch_idx"))
+    return patches.select("page_id", "patch_idx", "vec").where("size(vec) > 0").mapInArrow(run, schema)
 
 
 def page_scores(maxima: DataFrame) -> DataFrame:

@@ -12,11 +12,16 @@ from pyspark.sql.types import DoubleType
 
 from plumbline.functions.text import normalize_title
 from plumbline.plans.columns import col
+from plumbline.plans.sizing import broadcast_if_small
 
 #: Titles at or above THRESHOLD name the same work; a found title inside the requested one counts from this share of its length; score of a keyed record that doesn't repeat its DOI.
 THRESHOLD, PART_SCORE, PART_SHARE, SILENT_KEYED, TIE = 0.82, 0.95, 0.6, 0.9, 1e-9
 
 
+#: Hosts up to which the allowed ones are broadcast; more are joined by shuffle.
+SMALL_HOSTS = 200_000
+
+
 def _ratios(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for left, right in pairs:
         yield pd.Series([None if a is None or b is None else SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right)], dtype="float64")
@@ -64,9 +69,10 @@ def best_first(positioned: DataFrame, group: str, allowed: str | None = None) ->
 
 
 def allowed_urls(urls: DataFrame, hosts: DataFrame, url: str = "url") -> DataFrame:
-    """Rows whose host is on the list or below a host of the list: an equality join on exploded host suffixes, no comparison of all pairs."""
+    """Rows whose host is on the list or below a host of the list: distinct hosts are joined by equality on their suffixes, and the rows by host, so an address is never a key."""
     from plumbline.functions.text import host, host_suffixes
 
-    keyed = urls.withColumn("_host", host(url)).withColumn("_at", F.explode_outer(host_suffixes("_host")))
-    ok = keyed.join(hosts.select(host("host").alias("_at")).distinct(), "_at", "left_semi").select(url).distinct()
-    return urls.join(ok, url, "left_semi")
+    known = urls.withColumn("_host", host(url))
+    distinct = known.select("_host").where("_host IS NOT NULL").distinct()
+    ok = distinct.withColumn("_at", F.explode(host_suffixes("_host"))).join(hosts.select(host("host").alias("_at")).distinct(), "_at", "left_semi").select("_host").distinct()
+    return known.join(broadcast_if_small(ok, SMALL_HOSTS), "_host", "left_semi").drop("_host")

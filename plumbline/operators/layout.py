@@ -67,13 +67,40 @@ def image_runs(tokens: DataFrame, is_image: Column) -> DataFrame:
     return image.groupBy("page_id", "_run").agg(F.min("pos").alias("start"), F.count("*").alias("length"), F.min_by("_before", "pos").alias("marker")).drop("_run")
 
 
+def any_layout(tiled: DataFrame, runs: DataFrame, expected: DataFrame) -> DataFrame:
+    """``page_id, grid_rows, grid_cols, cell, patch_idx, grid_ok``: the grid of tiles where a page has one; else its image positions, in order, as the grid that was
+    announced for the page (``expected``: ``page_id, rows, cols``) if their number agrees; else as a square if it is one; else the positions without a grid."""
+    places = runs.select("page_id", F.explode(F.expr("sequence(start, start + length - 1)")).alias("patch_idx")).join(tiled.select("page_id").distinct(), "page_id", "left_anti")
+    page = Window.partitionBy("page_id")
+    flat = places.withColumn("cell", F.row_number().over(page.orderBy("patch_idx")) - 1).withColumn("_n", F.count("*").over(page)).join(expected, "page_id", "left")
+    side = F.sqrt("_n").cast("int")
+    fits, square = F.coalesce((F.col("rows") > 0) & (F.col("cols") > 0) & (F.col("rows") * F.col("cols") == F.col("_n")), F.lit(False)), side * side == F.col("_n")
+    shape = lambda c: F.when(fits, F.col(c)).when(square, side).otherwise(F.coalesce(c, F.lit(0))).cast("int")
+    flat = flat.select("page_id", shape("rows").alias("grid_rows"), shape("cols").alias("grid_cols"), "cell", F.col("patch_idx").cast("int").alias("patch_idx"), (fits | square).alias("grid_ok"))
+    return tiled.withColumn("grid_ok", F.lit(True)).unionByName(flat)
+
+
+def page_zoom(dpi: Column | int) -> Column:
+    """Pixels a point: a page image of ``dpi`` has 72 points an inch."""
+    return (dpi if isinstance(dpi, Column) else F.lit(dpi)) / F.lit(72.0)
+
+
+def words_of_lines(lines: DataFrame) -> DataFrame:
+    """The words of page lines, each with its share of the line's box by characters; ``word_no`` counts within the line."""
+    n = F.length("text")
+    each = lines.where(n > 0).withColumn("_w", F.explode(F.expr("filter(transform(split(text, ' '), (w, k) -> named_struct('k', k, 'w', w, 'at', length(array_join(slice(split(text, ' '), 1, k), ' ')) + if(k > 0, 1, 0))), x -> x.w <> '')")))
+    left = F.col("x0") + (F.col("x1") - F.col("x0")) * F.col("_w.at") / n
+    right = F.col("x0") + (F.col("x1") - F.col("x0")) * (F.col("_w.at") + F.length("_w.w")) / n
+    return each.select("page_id", "line_no", F.col("_w.k").alias("word_no"), left.alias("x0"), "y0", right.alias("x1"), "y1", F.col("_w.w").alias("text"))
+
+
 def tiled_layout(runs: DataFrame) -> DataFrame:
     """``page_id, grid_rows, grid_cols, cell, patch_idx``: tiles put together to one grid in row-major order.
 
     Only pages whose tiles have one square size and cover a full rectangle give rows; runs without a tile marker (the global view) have no place.
     """
     row, column = (F.regexp_extract(F.trim("marker"), TILE, k) for k in (1, 2))
-    tiles = runs.where(F.trim("marker").rlike(TILE)).select("page_id", row.cast("int").alias("tr"), column.cast("int").alias("tc"), "start", "length")
+    tiles = runs.where(F.trim("marker").rlike(TILE)).select("page_id", row.try_cast("int").alias("tr"), column.try_cast("int").alias("tc"), "start", "length")
     tiles = tiles.groupBy("page_id", "tr", "tc").agg(F.max(F.struct("start", "length")).alias("run")).select("page_id", "tr", "tc", "run.*")
     shape = tiles.groupBy("page_id").agg(F.min("length").alias("n"), F.max("length").alias("most"), F.max("tr").alias("rows"), F.max("tc").alias("cols"), F.count("*").alias("tiles"))
     side = F.sqrt("n").cast("int")

@@ -62,3 +62,25 @@ def expanded_queries(queries: DataFrame) -> DataFrame:
     once = Window.partitionBy("query_id", F.lower("text")).orderBy("pos")
     kept = queries.where("text IS NOT NULL AND trim(text) <> ''").withColumn("_n", F.row_number().over(once)).where("_n = 1").drop("_n")
     return kept.withColumn("query_index", F.row_number().over(Window.partitionBy("query_id").orderBy("pos")) - 1)
+
+
+def fan_out(queries: DataFrame, sources: list[str]) -> DataFrame:
+    """``query_id, query_index, source, job``: every variant of a description asked at every source of a stated list, numbered in the order of their answers."""
+    each = F.explode(F.arrays_zip(F.sequence(F.lit(0), F.lit(len(sources) - 1)).alias("n"), F.array(*[F.lit(s) for s in sources]).alias("source"))).alias("s")
+    return queries.select("query_id", "query_index", each).select("query_id", "query_index", "s.source", (F.col("query_index") * len(sources) + F.col("s.n")).alias("job"))
+
+
+def answers(jobs: DataFrame, results: DataFrame, errors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The candidates of all jobs in one table, ``ordinal`` in the order of jobs and of their answers, and the jobs that failed.
+
+    ``results`` have ``query_id, query_index, source, place``, ``errors`` an ``error`` for a job; a failed job gives no candidates. Ordinals need no sort of a query's whole pool: a job's
+    first ordinal is the number of answers of the jobs before it.
+    """
+    key = ["query_id", "query_index", "source"]
+    failed = jobs.join(errors.where("error IS NOT NULL").groupBy(*key).agg(F.min("error").alias("error")), key)
+    sound = jobs.join(failed.select(*key), key, "left_anti")
+    sizes = sound.join(results.groupBy(*key).agg(F.count("*").alias("_n")), key)
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("query_id").orderBy("job").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = F.row_number().over(Window.partitionBy(*key).orderBy("place")) - 1
+    placed = results.withColumn("_k", inside).join(sizes.select(*key, before.alias("_before")), key)
+    return placed.withColumn("ordinal", (F.col("_before") + F.col("_k")).cast("int")).drop("_k", "_before"), failed

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import base_name, title_from_path
@@ -69,5 +69,14 @@ def latest_by_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFra
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")).select(*keys, "_last.*")
 
 
-def ranked_window(rows: DataFrame, by: list[str], order: list) -> DataFrame:
-    return rows.withColumn("pos", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+def already_there(works: DataFrame, files: DataFrame, ident: str, names: str) -> DataFrame:
+    """``ident, path`` of works of which a file lies under the name of any of their copies: names are exploded and joined by equality with the files' base names; the first copy's file counts."""
+    each = works.select(F.col(ident), F.posexplode(names).alias("_pos", "_name"))
+    there = files.where("path IS NOT NULL").select(base_name("path").alias("_name"), "path").groupBy("_name").agg(F.min("path").alias("path"))
+    return each.join(there, "_name").groupBy(ident).agg(F.min_by("path", "_pos").alias("path"))
+
+
+def with_entries(files: DataFrame, entries: DataFrame) -> DataFrame:
+    """Every file with the title, DOI and query of its entry in the log, null where the log has none."""
+    known = entries.select(F.col("path").alias("_name"), "query", "title", "doi")
+    return files.withColumn("_name", base_name("path")).join(known, "_name", "left").withColumn("title", F.coalesce("title", title_from_path("path"))).drop("_name")

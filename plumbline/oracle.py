@@ -196,6 +196,32 @@ def oracle_sql() -> dict[str, str]:
         "tiled_layout": """
             SELECT page_id, CAST(4 AS INT) AS grid_rows, CAST(6 AS INT) AS grid_cols, CAST(cell AS INT) AS cell, CAST(((cell // 12) * 3 + (cell % 6) // 2) * 5 + 1 + ((cell // 6) % 2) * 2 + cell % 2 AS INT) AS patch_idx
             FROM (SELECT DISTINCT vec_id // 25 AS page_id FROM embeddings) CROSS JOIN range(24) AS r(cell)""",
+        "files_there": """
+            WITH f AS (SELECT DISTINCT paper.doi AS doi FROM manifest WHERE path IS NOT NULL AND paper.doi IS NOT NULL)
+            SELECT paper_id, coalesce(min(CASE WHEN f.doi = key THEN md5(f.doi) || '.pdf' END), min(md5(f.doi) || '.pdf')) AS path FROM paper p JOIN f ON f.doi = p.key OR f.doi = p.doi WHERE p.doi IS NOT NULL GROUP BY paper_id""",
+        "files_with_entries": _ENTRIES
+        + """SELECT DISTINCT f.path, z.q AS query, z.d AS doi FROM manifest f LEFT JOIN e ON e.path = regexp_extract(f.path, '([^/\\\\]+)$', 1) WHERE f.path IS NOT NULL AND f.path <> ''""",
+        "published_records": """
+            SELECT record_id, paper.pdf_url AS pdf_url, paper.confidence AS confidence, nullif(array_to_string(list_filter(paper.retrieval_sources, lambda s: s IS NOT NULL), '+'), '') AS source,
+              CAST(coalesce(len(paper.pdf_urls[2:4]), 0) AS INT) AS n_alternatives, run.pool_size AS pool_size, run.selection AS selection FROM manifest WHERE paper IS NOT NULL""",
+        "download_outcomes": f"""
+            WITH u AS (SELECT cand_id, ordinal, {HOST.format("pdf_url")} AS h, {HOST.format("landing_url")} AS l FROM semantic_candidate WHERE pdf_url IS NOT NULL),
+            e AS (SELECT *, CASE WHEN h = 'mirror.polarlib.example' AND l IS NOT NULL THEN l ELSE h END AS dest FROM u)
+            SELECT cand_id, CASE WHEN coalesce(dest LIKE '%gatewire%', true) THEN 'redirected off-allowlist to ' || coalesce(dest, '') WHEN ordinal % 7 = 0 THEN 'status 404' WHEN ordinal % 3 = 0 THEN 'response is not a PDF'
+              WHEN ordinal % 2 <> 0 THEN 'file too small (108 bytes)' END AS reason FROM e""",
+        "fan_out": "SELECT query_id, CAST(i AS INT) AS query_index, s AS source, CAST(i * 3 + n AS INT) AS job FROM query_request, range(2) AS a(i), (VALUES (0, 'openshelf'), (1, 'crosscite'), (2, 'scholarnet')) AS b(n, s)",
+        "union_candidates": """
+            SELECT cand_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY query_index, source, ordinal, cand_id) - 1 AS INT) AS ordinal FROM semantic_candidate
+            WHERE source <> 'gatewire' AND query_id IS NOT NULL AND query_index IS NOT NULL""",
+        "model_pools": "SELECT query_id, m AS model FROM query_request, (VALUES ('small'), ('large')) AS t(m)",
+        "flat_layout": """
+            WITH p AS (SELECT DISTINCT vec_id // 25 AS page_id FROM embeddings)
+            SELECT page_id, CAST([3, 4, 0][page_id % 3 + 1] AS INT) AS grid_rows, CAST([4, 4, 0][page_id % 3 + 1] AS INT) AS grid_cols, CAST(c AS INT) AS cell, CAST(CASE WHEN page_id % 3 = 2 AND c >= 5 THEN c + 4 ELSE c + 1 END AS INT) AS patch_idx,
+              page_id % 3 <> 2 AS grid_ok FROM p, range(16) AS r(c) WHERE c < [12, 16, 10][page_id % 3 + 1]""",
+        "page_words": _LINES
+        + """, w AS (SELECT page_id, line_no, x0, x1, y0, y1, length(text) AS n, string_split(text, ' ') AS ws FROM lines WHERE length(text) > 0),
+            e AS (SELECT page_id, y0, y1, x0 + (x1 - x0) * a / n AS wx0, x0 + (x1 - x0) * (a + length(ws[k])) / n AS wx1 FROM (SELECT *, CASE WHEN k > 1 THEN length(array_to_string(ws[1:k - 1], ' ')) + 1 ELSE 0 END AS a FROM w, unnest(range(1, len(ws) + 1)) AS u(k)) WHERE ws[k] <> '')
+            SELECT page_id, region_no, count(*) AS n_words FROM e CROSS JOIN reg WHERE greatest(0, least(wx1, rx1) - greatest(wx0, rx0)) * greatest(0, least(y1, ry1) - greatest(y0, ry0)) / ((wx1 - wx0) * (y1 - y0)) >= 0.3 GROUP BY ALL""",
         "manifest_last_wins": _ENTRIES + "SELECT path, z.q AS query, z.t AS title, z.d AS doi, first_seen FROM e",
         "manifest_queries": _ENTRIES + "SELECT z.q AS query, min(first_seen) AS first_seen, count(*) AS n_files FROM e GROUP BY 1",
         "status_counts": "SELECT status, count(*) AS n FROM manifest GROUP BY status",

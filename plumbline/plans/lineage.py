@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_clearing: set[str] = set()
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use ``spark.checkpoint.dir`` of the session; set a folder only where none is named (tests)."""
@@ -14,6 +16,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not named and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="plumbline-checkpoint-"))
 
 
@@ -26,12 +30,16 @@ def cut(df: DataFrame) -> DataFrame:
 def saved(df: DataFrame) -> DataFrame:
     """Write ``df`` as a compressed table in the shared checkpoint folder and read it from there; for wide rows that are read several times.
 
-    Unlike checkpoints, the tables aren't removed by Spark's cleaner; ``clear`` removes all that this application wrote.
+    Unlike checkpoints, the tables aren't removed by Spark's cleaner; they go when the driver ends, or with ``clear``.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if spark.sparkContext.applicationId not in _clearing:  # what this application wrote goes when the driver ends
+        _clearing.add(spark.sparkContext.applicationId)
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+        hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import text as T
 from plumbline.functions.vectors import products
 from plumbline.operators import attribution, calibrate, chunking, identity, layout, pool, provenance, rank, records, store
-from plumbline.sources import payloads
+from plumbline.sources import files, payloads
 from plumbline.sources.tables import table
 
 NAMESPACE = "6ba7b811-9dad-11d1-80b4-00c04fd430c8"
@@ -29,8 +29,8 @@ def _scored(spark: SparkSession, d: str, keep: int | None) -> DataFrame:
 
 
 def semantic_topk(spark: SparkSession, d: str) -> DataFrame:
-    rows = rank.ranked(_scored(spark, d, rank.TOP_K), "query_id", "score", "ident", floor=0.2)
-    return rank.top_k(rows).select("query_id", F.col("ident").alias("vec_id"), "similarity_rank", F.round("score", 6).alias("similarity"))
+    rows = rank.best_ranked(_scored(spark, d, rank.TOP_K), "query_id", "score", "ident", floor=0.2)
+    return rows.select("query_id", F.col("ident").alias("vec_id"), "similarity_rank", F.round("score", 6).alias("similarity"))
 
 
 def similarity_distribution(spark: SparkSession, d: str) -> DataFrame:
@@ -54,14 +54,14 @@ def similarity_rank(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rank_only_topk(spark: SparkSession, d: str) -> DataFrame:
-    rows = rank.top_k(rank.ranked(table(spark, d, "paper"), "query_id", "similarity", "paper_id"))
+    rows = rank.best_ranked(table(spark, d, "paper"), "query_id", "similarity", "paper_id")
     sure = rank.confidence(F.col("similarity"), F.coalesce("pdf_verified", F.lit(False)))
     return rows.select("query_id", "paper_id", F.col("similarity_rank").alias("rank"), sure.alias("confidence"))
 
 
 def fetchable_first_topk(spark: SparkSession, d: str) -> DataFrame:
     papers = table(spark, d, "paper").select("query_id", "paper_id", "similarity", F.coalesce("pdf_verified", F.lit(False)).alias("ok"))
-    rows = rank.fetchable_first(rank.ranked(papers, "query_id", "similarity", "paper_id"), "query_id", "similarity", "ok")
+    rows = rank.fetchable_first(rank.best_ranked(papers, "query_id", "similarity", "paper_id", rank.MAX_PROBES), "query_id", "similarity", "ok")
     return rows.select("query_id", "paper_id", "rank", "similarity_rank", "pdf_verified", "verified_window")
 
 
@@ -82,7 +82,7 @@ def bench_report(spark: SparkSession, d: str) -> DataFrame:
     papers = table(spark, d, "paper")
     words = F.size(F.filter(F.split(T.paper_text("title", "abstract", " "), r"\s+"), lambda w: w != ""))
     stats = papers.groupBy("query_id").agg(F.max(words).alias("longest_words"), F.count_if(words > 60).alias("n_over_window"), F.count_if("title_only").alias("n_title_only"))
-    top = rank.top_k(rank.ranked(papers, "query_id", "similarity", "paper_id"), 3)
+    top = rank.best_ranked(papers, "query_id", "similarity", "paper_id", 3)
     best = top.groupBy("query_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("similarity_rank", "paper_id"))), lambda x: x["paper_id"]).alias("top"))
     return stats.join(best, "query_id", "left")
 
@@ -206,7 +206,7 @@ def url_promotion(spark: SparkSession, d: str) -> DataFrame:
 
 def result_json(spark: SparkSession, d: str) -> DataFrame:
     """The best papers of each query as one JSON text."""
-    top = rank.top_k(rank.ranked(table(spark, d, "paper"), "query_id", "similarity", "paper_id"))
+    top = rank.best_ranked(table(spark, d, "paper"), "query_id", "similarity", "paper_id")
     return records.envelope(top, ["query_id"], "similarity_rank", ["paper_id", "similarity_rank", "key"], "papers")
 
 
@@ -396,6 +396,71 @@ def upsert_papers(spark: SparkSession, d: str) -> DataFrame:
     return provenance.upsert(old, new, "key")
 
 
+def files_there(spark: SparkSession, d: str) -> DataFrame:
+    """Works of table paper of which the log's files hold a copy, under the name of any address; the paper's DOI stands in for its titles in the names."""
+    log = table(spark, d, "manifest").where("path IS NOT NULL AND paper.doi IS NOT NULL").select(F.concat(F.md5("paper.doi"), F.lit(".pdf")).alias("path"))
+    names = table(spark, d, "paper").where("doi IS NOT NULL").select("paper_id", F.array(F.concat(F.md5("key"), F.lit(".pdf")), F.concat(F.md5("doi"), F.lit(".pdf"))).alias("names"))
+    return provenance.already_there(names, log, "paper_id", "names")
+
+
+def files_with_entries(spark: SparkSession, d: str) -> DataFrame:
+    """Every path of the log with the last downloaded entry of its file name."""
+    log = table(spark, d, "manifest")
+    files = log.where("path IS NOT NULL AND path <> ''").select("path").distinct()
+    return provenance.with_entries(files, provenance.downloaded_entries(log, ["logged_at", "record_id"])).select("path", "query", "doi")
+
+
+def published_records(spark: SparkSession, d: str) -> DataFrame:
+    """The resolution and run blocks of the records of table manifest that have a paper."""
+    rows = table(spark, d, "manifest").where("paper IS NOT NULL")
+    rows = rows.select("record_id", records.resolution(rows).alias("r"), records.run_metadata().alias("m"))
+    return rows.select("record_id", "r.pdf_url", "r.confidence", "r.source", F.size("r.alternatives").alias("n_alternatives"), "m.pool_size", "m.selection")
+
+
+def download_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """Downloads of table semantic_candidate: addresses on the mirror of polarlib end on its landing page's host, the ordinal gives the answer's status and size."""
+    rows = table(spark, d, "semantic_candidate").where("pdf_url IS NOT NULL")
+    body = F.encode(F.concat(F.when(F.col("ordinal") % 3 == 0, "<html>").otherwise("%PDF-1.7"), F.repeat(F.lit("x"), F.when(F.col("ordinal") % 2 == 0, 2000).otherwise(100))), "utf-8")
+    landed = F.when(T.host("pdf_url") == "mirror.polarlib.example", F.col("landing_url")).otherwise(F.col("pdf_url"))
+    outcome = files.download_outcome(F.col("pdf_url"), landed, F.when(F.col("ordinal") % 7 == 0, 404).otherwise(200), body, lambda u: ~T.host(u).rlike("gatewire"))
+    return rows.select("cand_id", outcome.alias("reason"))
+
+
+def fan_out(spark: SparkSession, d: str) -> DataFrame:
+    """Jobs of every description with two variants at three sources."""
+    asked = table(spark, d, "query_request").select("query_id", F.explode(F.array(F.lit(0), F.lit(1))).alias("query_index"))
+    return pool.fan_out(asked, ["openshelf", "crosscite", "scholarnet"])
+
+
+def union_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Candidates of table semantic_candidate put in the order of their jobs again; jobs of gatewire count as failed."""
+    results = table(spark, d, "semantic_candidate").withColumn("place", F.struct("ordinal", "cand_id"))
+    key = ["query_id", "query_index", "source"]
+    jobs = results.select(*key).where("query_index IS NOT NULL").distinct().withColumn("job", F.struct("query_index", "source"))
+    errors = jobs.where("source = 'gatewire'").select(*key, F.lit("timeout").alias("error"))
+    return pool.answers(jobs, results.drop("ordinal"), errors)[0].select("cand_id", "ordinal")
+
+
+def model_pools(spark: SparkSession, d: str) -> DataFrame:
+    return calibrate.model_pools(["small", "large"], table(spark, d, "query_request").select("query_id"))
+
+
+def flat_layout(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of embeddings with one run of 12 or 16 patches or two of 5: a third announced as 3 x 4, a third a square, a third without a grid."""
+    pages = _patches(spark, d).select("page_id").distinct()
+    n = F.when(F.col("page_id") % 3 == 0, 12).when(F.col("page_id") % 3 == 1, 16).otherwise(5)
+    runs = pages.select("page_id", F.lit(1).alias("start"), n.alias("length"), F.lit("<text>").alias("marker"))
+    more = pages.where("page_id % 3 = 2").select("page_id", F.lit(9).alias("start"), F.lit(5).alias("length"), F.lit("<text>").alias("marker"))
+    expected = pages.where("page_id % 3 = 0").select("page_id", F.lit(3).alias("rows"), F.lit(4).alias("cols"))
+    runs = runs.unionByName(more)
+    return layout.any_layout(layout.tiled_layout(runs), runs, expected)
+
+
+def page_words(spark: SparkSession, d: str) -> DataFrame:
+    """Words of page lines in each region, by their own boxes."""
+    return layout.words_in_regions(_regions(spark, d), layout.words_of_lines(_lines(spark, d))).groupBy("page_id", "region_no").agg(F.count("*").alias("n_words"))
+
+
 # --- answers of services: payloads made of table semantic_candidate, read back
 
 
@@ -451,5 +516,5 @@ ALL = (
     dedup_works, merge_works, truncated_sources, first_errors, expanded_queries, normalize_titles, strip_markup, clean_queries, paper_texts, abstract_from_positions, slugs, point_ids, location_dois, chunks, display_texts,
     hosts, allowlist_semi, blocked_hosts, fetch_targets, alternate_hosts, url_promotion, result_json, stored_bytes, identity_scores, pick_best, alternatives, allowed_rerank, title_similarity_pairs,
     maxsim_argmax, maxsim_rank, heat_map, box_blur, hot_cells, hot_regions, lines_in_region, words_in_region, reading_order, region_snippets, tiled_layout,
-    manifest_last_wins, manifest_queries, status_counts, run_cost, latest_delivery, index_resume, upsert_papers, parse_openalex, parse_europepmc, parse_semantic_scholar, parse_crossref, parse_unpaywall, parse_arxiv,
+    manifest_last_wins, manifest_queries, status_counts, run_cost, latest_delivery, index_resume, upsert_papers, files_there, files_with_entries, published_records, download_outcomes, fan_out, union_candidates, model_pools, flat_layout, page_words, parse_openalex, parse_europepmc, parse_semantic_scholar, parse_crossref, parse_unpaywall, parse_arxiv,
 )

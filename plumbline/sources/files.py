@@ -91,6 +91,48 @@ def is_pdf(content: Column, length: Column, least: int = 1024) -> Column:
     return (F.substring(content, 1, 5) == F.expr("X'255044462D'")) & (length >= least)
 
 
+def download_outcome(url: Column, landed: Column, status: Column, content: Column, allowed, least: int = 1024) -> Column:
+    """What a download comes to: null where the file can be kept, else the reason: an answer of 400 or more, an end outside the allowed hosts, no PDF, or merely an error page."""
+    size = F.length(content)
+    return (
+        F.when(~F.coalesce(allowed(F.coalesce(landed, url)), F.lit(False)), F.concat(F.lit("redirected off-allowlist to "), F.coalesce(host(F.coalesce(landed, url)), F.lit(""))))
+        .when(F.coalesce(status, F.lit(0)) >= 400, F.concat(F.lit("status "), status.cast("string"))).when(content.isNull() | (F.coalesce(F.substring(content, 1, 5) != F.expr("X'255044462D'"), F.lit(True))), "response is not a PDF")
+        .when(size < least, F.concat(F.lit("file too small ("), size.cast("string"), F.lit(" bytes)")))
+    )
+
+
+def store_files(kept: DataFrame, folder: str) -> DataFrame:
+    """Write the files (``name, content``) that a download kept and return ``name, path``; each goes to a temporary name first and is renamed when whole, so a lost executor leaves no partial file under a final name.
+
+    ``folder`` is one that all executors share.
+    """
+
+    def run(frames):
+        import os
+        import uuid
+
+        for frame in frames:
+            paths = []
+            for name, content in zip(frame["name"], frame["content"]):
+                os.makedirs(folder, exist_ok=True)
+                path = os.path.join(folder, os.path.basename(name))
+                part = f"{path}.{uuid.uuid4().hex}.part"
+                with open(part, "wb") as f:
+                    f.write(content)
+                os.replace(part, path)
+                paths.append(path)
+            yield frame[["name"]].assign(path=paths)
+
+    return kept.select("name", "content").mapInPandas(run, "name string, path string")
+
+
+def missing_paths(spark: SparkSession, *paths: str) -> list[str]:
+    """Those of the given paths that don't exist, sorted."""
+    hadoop = spark._jsc.hadoopConfiguration()
+    there = lambda p: (h := spark._jvm.org.apache.hadoop.fs.Path(p)).getFileSystem(hadoop).exists(h)
+    return sorted(p for p in set(paths) if not there(p))
+
+
 def append_manifest(outcomes: DataFrame, path: str) -> None:
     """One JSON line for each outcome, added to the log."""
     outcomes.write.mode("append").json(path)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.operators import attribution, calibrate, chunking, identity, layout, pool, provenance, rank
+from plumbline.sources import files
 
 
 def rows(df):
@@ -127,8 +128,7 @@ def test_maxsim_and_ties(spark):
     assert rows(got) == rows(spark.createDataFrame([(1, 0, 1.0, 0), (1, 1, 2.0, 2), (2, 0, 3.0, 0), (2, 1, 0.0, 0)], "p long, t int, b double, i int"))
     assert [tuple(r) for r in attribution.top_pages(attribution.page_scores(got), 1).collect()] == [(1, 3.0)]
     assert attribution.token_maxima(patches, tokens.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        attribution.token_maxima(patches, tokens, max_tokens=1)
+    assert rows(attribution.token_maxima(patches, tokens, block=1)) == rows(got)
 
 
 def test_heat_blur_components_regions(spark):
@@ -237,3 +237,53 @@ def test_chunks(spark):
     assert sorted(got) == [(1, 0), (1, 1), (1, 2), (2, 0), (5, 0)]
     assert got[1, 1].text.split()[0] == "412" and got[1, 2].n_words == 1000 - 824
     assert math.isclose(sum(got[1, k].n_words for k in range(3)), 1000 + 2 * 100)
+
+
+def test_hot_query_is_ranked_and_summed_in_steps(spark):
+    rnd = random.Random(6)
+    data = [(1, k, rnd.choice([0.71, 0.75, rnd.random()])) for k in range(900)] + [(k % 40, 1000 + k, rnd.random()) for k in range(600)] + [(3, 5000, None), (4, 5001, float("nan")), (77, 5002, None)]
+    df = spark.createDataFrame(data, "query_id long, paper_id long, similarity double")
+    got = {(r.query_id, r.paper_id): r.similarity_rank for r in rank.ranked(df, "query_id", "similarity", "paper_id").collect()}
+    expected = {}
+    for q in {r[0] for r in data}:
+        own = sorted((r for r in data if r[0] == q and r[2] is not None and not r[2] < rank.FLOOR), key=lambda r: (-(r[2] if r[2] == r[2] else 9), r[1]))
+        expected |= {(q, r[1]): k + 1 for k, r in enumerate(own)}
+    assert got == expected
+    assert {(r.query_id, r.paper_id): r.similarity_rank for r in rank.best_ranked(df, "query_id", "similarity", "paper_id", 5).collect()} == {k: v for k, v in expected.items() if v <= 5}
+    for r in calibrate.score_summary(df, "query_id", "similarity").collect():
+        own = sorted((x[2] for x in data if x[0] == r.query_id and x[2] is not None), key=lambda x: -(x if x == x else 9))
+        n = sum(x[0] == r.query_id for x in data)
+        own += [None] * (n - len(own))
+        assert r.pool_size == n
+        for share, value in ((0.1, r.score_top10), (0.5, r.score_median)):
+            want = own[min(n - 1, int(share * n))]
+            assert value == want if want is None else abs(value - want) < 1e-4 or value != value
+
+
+def test_tokens_in_blocks(spark):
+    patches = spark.createDataFrame([(p, i, [float((p * 7 + i * 3 + k) % 5) for k in range(3)]) for p in range(3) for i in range(4)], "page_id long, patch_idx int, vec array<double>")
+    tokens = spark.createDataFrame([(t, [float((t * k) % 7 - 3) for k in range(1, 4)]) for t in range(11)], "tok int, vec array<double>")
+    whole, blocks = (sorted(map(tuple, attribution.token_maxima(patches, tokens, n).collect())) for n in (4096, 4))
+    assert whole == blocks and len(whole) == 33
+
+
+def test_jobs_and_answers(spark):
+    jobs = pool.fan_out(spark.createDataFrame([(1, 0), (1, 1)], "query_id long, query_index int"), ["a", "b"])
+    assert sorted(map(tuple, jobs.collect())) == [(1, 0, "a", 0), (1, 0, "b", 1), (1, 1, "a", 2), (1, 1, "b", 3)]
+    results = spark.createDataFrame([(1, 1, "a", 0, "z"), (1, 0, "b", 1, "y"), (1, 0, "b", 0, "x"), (1, 0, "a", 0, "lost")], "query_id long, query_index int, source string, place int, title string")
+    errors = spark.createDataFrame([(1, 0, "a", "timeout")], "query_id long, query_index int, source string, error string")
+    found, failed = pool.answers(jobs, results, errors)
+    assert sorted((r.ordinal, r.title) for r in found.collect()) == [(0, "x"), (1, "y"), (2, "z")]
+    assert [(r.job, r.error) for r in failed.collect()] == [(0, "timeout")]
+
+
+def test_downloads_are_guarded_and_stored_whole(spark, tmp_path):
+    ok, small, page = b"%PDF-1.7" + b"x" * 2000, b"%PDF-1.7", b"<html>" + b"x" * 2000
+    rows = [("a.pdf", "http://h.example/a", "http://h.example/a", 200, ok), ("b.pdf", "http://h.example/b", "http://evil.example/b", 200, ok), ("c.pdf", "http://h.example/c", None, 200, small), ("d.pdf", "http://h.example/d", None, 200, page), ("e.pdf", "http://h.example/e", None, 404, ok), ("f.pdf", "http://h.example/f", None, 200, None)]
+    df = spark.createDataFrame(rows, "name string, url string, landed string, status int, content binary")
+    reason = files.download_outcome(F.col("url"), F.col("landed"), F.col("status"), F.col("content"), lambda u: F.contains(u, F.lit("//h.example")))
+    out = df.withColumn("reason", reason)
+    assert {r.name: r.reason for r in out.collect()} == {"a.pdf": None, "b.pdf": "redirected off-allowlist to evil.example", "c.pdf": "file too small (8 bytes)", "d.pdf": "response is not a PDF", "e.pdf": "status 404", "f.pdf": "response is not a PDF"}
+    stored = files.store_files(out.where("reason IS NULL"), str(tmp_path / "pdf")).collect()
+    assert [r.name for r in stored] == ["a.pdf"] and [p.name for p in (tmp_path / "pdf").iterdir()] == ["a.pdf"]
+    assert files.missing_paths(spark, str(tmp_path / "pdf"), str(tmp_path / "no"), str(tmp_path / "ab")) == sorted([str(tmp_path / "no"), str(tmp_path / "ab")])

@@ -19,7 +19,8 @@ READ_AS = ("cp1252", "latin-1", "iso8859-15", "mac-roman", "cp437", "cp850", "cp
 WRITTEN_AS = ("cp1252", "mac-roman", "cp1251", "koi8-r", "cp866")
 
 #: A token: a run without ASCII white space that holds a character beyond ASCII, or a question mark before a letter; ASCII punctuation at its ends is cut off.
-TOKEN = r"(?<!\S)(?:[\x00-\x7F&&[^\s?]]|\?(?!\p{L}))*+(?:[^\x00-\x7F]|\?(?=\p{L}))\S*"
+_PLAIN = r"[\x00-\x08\x0E-\x1F!->@-\x7F]*+"
+TOKEN = rf"(?<!\S){_PLAIN}(?:\?(?!\p{{L}}){_PLAIN})*+(?:[^\x00-\x7F]|\?(?=\p{{L}}))\S*"
 _LEAD, _TAIL = r"""^(?:(?!\?\p{L})[!-/:-@\[-`{-~])+""", r"""[!-/:-@\[-`{-~]+$"""
 _ENDS = f"{_LEAD}|{_TAIL}"
 _PIECE = regex.compile(r"[^\x00-\x7F]+")

@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.plans.lineage import cut
+from plumbline.plans.lineage import cut, saved
 from plumbline.plans.shipping import ship
 
 #: Encodings that text is wrongly read with, and single-byte encodings that text is wrongly read from.
@@ -158,12 +158,14 @@ def garbled_words(words: DataFrame) -> DataFrame:
 def garbled(docs: DataFrame, ident: str, text: str) -> DataFrame:
     """``ident, word, original, chain``: each distinct garbled token of each document with the original put in its place.
 
-    Texts are read once, inside the JVM; what is shuffled are tokens beyond ASCII, counted before the shuffle. Both tables that are joined
+    Texts are read once, inside the JVM, and their tokens kept as a compressed table, a row for each document; what is shuffled are tokens beyond ASCII, counted before the shuffle. Both tables that are joined
     hold distinct words, so a document copied millions of times costs one row of each. Null texts and ASCII texts are never garbled; in
     lossy chains the original is the most frequent word of that form, and letters lost to a question mark are seen only before another letter. Repeated rows give one row for each token; an empty table gives none.
     """
     ship(docs.sparkSession)
-    found = tokens(docs.where(F.col(ident).isNotNull()), ident, text).where("word <> ''")
+    runs = F.regexp_extract_all(F.col(text), F.lit(TOKEN), F.lit(0))
+    kept = saved(docs.where(F.col(ident).isNotNull()).select(F.col(ident).alias("ident"), runs.alias("runs")).where("size(runs) > 0"))
+    found = kept.select("ident", F.explode("runs").alias("word")).select("ident", F.regexp_replace("word", _ENDS, "").alias("word")).where("word <> ''")
     words = cut(found.groupBy("word").agg(F.count("*").alias("n")))
     wrong = cut(garbled_words(words))
     return found.join(wrong, "word").select("ident", "word", "original", "chain").distinct()

@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType
 
 from plumbline.functions.text import normalize_title
 from plumbline.plans.columns import col
+from plumbline.plans.lineage import cut
 from plumbline.plans.sizing import broadcast_if_small
 
 #: Titles at or above THRESHOLD name the same work; a found title inside the requested one counts from this share of its length; score of a keyed record that doesn't repeat its DOI.
@@ -75,4 +76,4 @@ def allowed_urls(urls: DataFrame, hosts: DataFrame, url: str = "url") -> DataFra
     known = urls.withColumn("_host", host(url))
     distinct = known.select("_host").where("_host IS NOT NULL").distinct()
     ok = distinct.withColumn("_at", F.explode(host_suffixes("_host"))).join(hosts.select(host("host").alias("_at")).distinct(), "_at", "left_semi").select("_host").distinct()
-    return known.join(broadcast_if_small(ok, SMALL_HOSTS), "_host", "left_semi").drop("_host")
+    return known.join(broadcast_if_small(cut(ok), SMALL_HOSTS), "_host", "left_semi").drop("_host")

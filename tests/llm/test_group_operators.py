@@ -187,3 +187,9 @@ def test_marks_far_behind_a_beginning_bar_it(spark):
     long = " ".join(f"w{k}x" for k in range(160))
     assert _offers(spark, [long + " rcply end", long.split(" w40x")[0]]) == set()
     assert _offers(spark, [long + " end", long.split(" w40x")[0]]) == {(1, 0)}
+
+
+def test_two_words_may_differ(spark):
+    described = [f"Streaming {m} detection for {t} in steep terrain at {p}" for m in ("boundary", "anomaly", "outlier") for t in ("kelp forests", "moth traps", "salt marshes", "dune fields") for p in ("Zailgis", "Culbiam")]
+    cited = ["Streaming detection for kelp in steep terrain at Zailgis", "Streaming boumbary detection for moth traps in stuup terrain at Culbiam", "Streaming boundary for salt marshes in terrain at Zailgis", "Streaming harvest detection for moth pigeons in steep terrain at Culbiam", described[7]]
+    assert _found(spark, cited, described) == {(1, 3), (2, 4), (4, 7)}

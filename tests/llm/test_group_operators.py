@@ -1,8 +1,13 @@
 import datetime as dt
 import random
 import re
+from pathlib import Path
+
+import numpy as np
+from pyspark.sql import functions as F
 
 from plumbline.llm import match, survivor, titles, topn
+from plumbline.plans import lineage
 
 
 def rows(df):
@@ -153,6 +158,36 @@ def _classes(spark, titles):
     return df.withColumn("work", match._key(df.words))
 
 
+def test_frequencies_at_hand_and_by_join(spark, monkeypatch):
+    """Titles of a vocabulary that fits at hand are those of the join, and so are the index and the lists asked for; repeated words, other orders and words that set a work apart among them."""
+    words = [f"w{k}x" for k in range(40)] + ["part", "ii", "comment", "straße"]
+    titles = [" ".join(words[(7 * k + j * j) % len(words)] for j in range(k % 13)) for k in range(150)]
+    classes = _classes(spark, [*titles, *(" ".join(t.split()[::-1]) for t in titles[:20]), *titles[:9]])
+    found = []
+    for small in (200_000, 0):
+        monkeypatch.setattr(match, "SMALL_VOCABULARY", small)
+        weighed, df = match.weighed(classes)
+        found.append([sorted(map(str, rows.collect())) for rows in (weighed, df, match.postings(weighed).drop("total"), match._asked(weighed, df).distinct())])
+    assert all(found[0]) and found[0] == found[1]
+
+
+def test_index_entries_hash_as_spark_does(spark):
+    numbers = [0, 1, -1, 2**62, -(2**63)]
+    rows = spark.createDataFrame([(n,) for n in numbers], "n long").select(F.xxhash64("n").alias("one"), F.xxhash64("n", F.lit(7).cast("long")).alias("two")).collect()
+    one = match.hashed(np.array(numbers))
+    assert one.view(np.int64).tolist() == [r.one for r in rows]
+    assert match.hashed(np.full(len(numbers), 7), match.hashed(np.array(numbers))).view(np.int64).tolist() == [r.two for r in rows]
+
+
+def test_matches_leaves_no_tables(spark):
+    a, b = _tables(spark)
+    lineage.ensure_checkpoint_dir(spark)
+    kept = lambda: set(Path(lineage._folder(spark).removeprefix("file:")).glob("*"))
+    before = kept()
+    assert match.matches(match.records(a, "id", "title", "doi", ("url",)), match.records(b, "id", "title", "doi", ("url",))).count() == 7
+    assert kept() == before
+
+
 def _offers(spark, titles):
     classes = _classes(spark, titles)
     ident = {r.work: r.letters for r in classes.collect()}
